@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plaudit.plans.lake_jobs import bronze_to_silver
 from plaudit.plans.warehouse import Star, load_warehouse, read_star, rule_flagged
 from plaudit.sources.adapter import as_of, raw_reviews
-from plaudit.sources.lake import Lake, land, read_bronze
+from plaudit.sources.lake import Lake, land, read_bronze, read_silver
 from plaudit.storage import work_path
 
 _done: dict[tuple, object] = {}
@@ -64,7 +64,7 @@ def raw(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, directory: str) -> DataFrame:
-    return build_silver(spark, directory).read(spark, "silver", "reviews")
+    return read_silver(spark, build_silver(spark, directory))
 
 
 def star(spark: SparkSession, directory: str) -> Star:

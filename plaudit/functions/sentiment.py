@@ -31,16 +31,22 @@ DEFAULT_LEXICON = Lexicon(
 )
 
 
-def lexicon_score(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
-    """Distinct positive words minus distinct negative words.
+def bare_words(text: Column, edge_marks: str) -> Column:
+    """Lower-case words of a text without marks at their edges.
 
-    Edge marks are cut off every word with one regular expression over the whole text. That avoids
-    a per-word lambda, which Spark would have to interpret outside generated code.
+    A blank and the marks on both sides of it are one separator, so a single split does all the
+    work and no per-word lambda runs outside generated code. The look-behind and the possessive
+    repeats keep the time linear even for long runs of marks.
     """
-    marks = "".join(f"\\{mark}" for mark in lexicon.edge_marks)
-    edges = f"(?<!{_NOT_SPACE})[{marks}]+|[{marks}]+(?!{_NOT_SPACE})"
-    bare = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), edges, ""))
-    words = F.split(bare, f"{UNICODE_SPACE}+")
+    marks = "".join(f"\\{mark}" for mark in edge_marks)
+    separator = f"(?<![{marks}])[{marks}]*+{UNICODE_SPACE}[{UNICODE_SPACE[1:-1]}{marks}]*+"
+    whole = F.btrim(F.coalesce(text, F.lit("")), F.lit(edge_marks))
+    return F.split(F.lower(whole), separator)
+
+
+def lexicon_score(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
+    """Distinct positive words minus distinct negative words."""
+    words = bare_words(text, lexicon.edge_marks)
 
     def hits(vocabulary: tuple[str, ...]) -> Column:
         return F.size(F.array_intersect(words, F.array(*[F.lit(word) for word in vocabulary])))
@@ -48,9 +54,6 @@ def lexicon_score(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     return hits(lexicon.positive) - hits(lexicon.negative)
 
 
-_NOT_SPACE = UNICODE_SPACE.replace("[", "[^", 1)
-
-
 def stars_from_score(score: Column) -> Column:
     """Score -2 and less .. 2 and more onto 1..5 stars."""
     return (F.greatest(F.lit(-2), F.least(F.lit(2), score)) + F.lit(3)).cast("int")

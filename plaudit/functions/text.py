@@ -27,8 +27,8 @@ def word_count(text: Column) -> Column:
 
 def raw_word_count(text: Column) -> Column:
     """Whitespace-separated words of any text; blank and null texts have none."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{UNICODE_SPACE}+|{UNICODE_SPACE}+$", "")
-    return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, f"{UNICODE_SPACE}+")))
+    words = F.split(F.coalesce(text, F.lit("")), f"{UNICODE_SPACE}+")
+    return F.size(F.array_remove(words, ""))
 
 
 def text_digest(text: Column) -> Column:

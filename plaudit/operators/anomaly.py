@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plaudit.functions.text import raw_word_count, text_digest
 from plaudit.operators.isolation_forest import IsolationForest
 from plaudit.operators.scoring import StarModel, score_sentiment
+from plaudit.storage import materialise
 
 MISMATCH_GAP = 3
 SPAM_CUSTOMERS = 3
@@ -30,10 +31,13 @@ def with_text_spread(
     aggregation, so a text shared by a third of all rows is spread over the cluster. Only texts
     whose count cannot be read off a single row go into the join back: those with two owners or
     more, and those that mix null and non-null owners. The rest, usually most, need no partner.
-    The join keeps all rows on its left, a side that adaptive execution may split when it is hot.
+
+    These counts are written out first. As a stored table they are broadcast exactly when their
+    files are small; otherwise both join sides are plain shuffles, the one shape in which adaptive
+    execution splits a hot partition (it cannot when a side is an aggregate still in flight).
     """
     keyed = df.withColumn("_text", text_digest(F.col(text)))
-    shared = (
+    counted = (
         keyed.filter(F.col("_text").isNotNull())
         .groupBy("_text")
         .agg(
@@ -43,6 +47,7 @@ def with_text_spread(
         .filter((F.col("_owners") >= 2) | ((F.col("_owners") == 1) & F.col("_some_null")))
         .select("_text", "_owners")
     )
+    shared = materialise(counted, "text-owners")
     alone = F.when(F.col(owner).isNull(), 0).otherwise(1)
     spread = F.when(F.col("_text").isNotNull(), F.coalesce(F.col("_owners"), alone)).cast("long")
     return keyed.join(shared, "_text", "left").withColumn(output, spread).drop("_text", "_owners")

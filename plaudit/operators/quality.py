@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,6 +161,14 @@ def _relationship_report(df: DataFrame, check: Check, tables: Mapping[str, DataF
     return counts.select(F.inline(F.array(_report_row(check, F.col("unexpected"), F.col("total")))))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """Union as a balanced tree; a chain would analyse its head once per further part."""
+    while len(parts) > 1:
+        pairs = [parts[i:i + 2] for i in range(0, len(parts), 2)]
+        parts = [pair[0].union(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return parts[0]
+
+
 def validate(
     df: DataFrame,
     suite: Suite = REVIEWS_SUITE,
@@ -180,7 +187,7 @@ def validate(
             parts.append(_relationship_report(df, check, tables or {}))
     if not parts:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
 
 
 def summarise(report: DataFrame, suite: Suite = REVIEWS_SUITE) -> DataFrame:
@@ -219,4 +226,4 @@ def validate_tables(
     for name, suite in suites.items():
         renamed = replace(suite, checks=tuple(replace(c, name=f"{name}.{c.name}") for c in suite.checks))
         reports.append(validate(tables[name], renamed, tables=tables))
-    return reduce(DataFrame.unionByName, reports, spark.createDataFrame([], REPORT_SCHEMA))
+    return _union(reports) if reports else spark.createDataFrame([], REPORT_SCHEMA)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, SparkSession
 from plaudit.operators.quality import REVIEWS_SUITE, Suite, gate
 from plaudit.plans.lake_jobs import bronze_to_silver, silver_to_gold
 from plaudit.plans.warehouse import Star, fully_flagged, load_warehouse
-from plaudit.sources.lake import Lake, land_csv
+from plaudit.sources.lake import Lake, land_csv, read_silver
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,7 @@ def run_batch(
     """
     land_csv(spark, lake, source)
     counts = bronze_to_silver(spark, lake, as_of)
-    silver = gate(lake.read(spark, "silver", "reviews"), suite, as_of)
+    silver = gate(read_silver(spark, lake), suite, as_of)
     marts = silver_to_gold(spark, lake)
     name = load or datetime.now(timezone.utc).strftime("load-%Y%m%dT%H%M%S%f")
     return BatchResult(counts, marts, load_warehouse(silver, warehouse, name, flag))

@@ -14,6 +14,14 @@ RAW_REVIEW = T.StructType([
     for name in REVIEW_COLUMNS
 ])
 
+# The partition column stands last, where a partitioned table puts it.
+SILVER_REVIEW = T.StructType(
+    [T.StructField("review_date", T.DateType()) if f.name == "review_date" else f
+     for f in RAW_REVIEW if f.name != "category"]
+    + [T.StructField(name, T.IntegerType()) for name in ("review_length", "word_count", "review_year", "review_month")]
+    + [RAW_REVIEW["category"]]
+)
+
 # The four fields a live message carries; other fields in the JSON are ignored.
 REVIEW_MESSAGE = T.StructType([RAW_REVIEW[name] for name in ("review_id", "category", "rating", "review_text")])
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plaudit.schemas import RAW_REVIEW
+from plaudit.schemas import RAW_REVIEW, SILVER_REVIEW
 
 CSV_OPTIONS = {
     "header": "true", "quote": '"', "escape": '"',
@@ -49,14 +49,18 @@ class Lake:
         return self.write(df, "gold", name)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_REVIEW) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_REVIEW, multi_line: bool = True
+) -> DataFrame:
     """Typed CSV scan of a file or a directory of files.
 
     Doubled quotes and quoted line breaks are understood. A cell that does not fit its type is
-    null, the row stays. One file is one task under ``multiLine``, so land files of a sane size
-    (:func:`land_csv` splits them).
+    null, the row stays; a header other than the schema's names raises. Quoted line breaks make a
+    file one task (:func:`land` cuts its files for that); without them in the data,
+    ``multi_line=False`` lets Spark split big files.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true").csv(path)
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -68,20 +72,28 @@ def read_bronze(spark: SparkSession, lake: Lake, dataset: str = "reviews") -> Da
     return read_csv(spark, lake.path("bronze", dataset))
 
 
-def land_csv(spark: SparkSession, lake: Lake, source: str, dataset: str = "reviews") -> str:
+def read_silver(spark: SparkSession, lake: Lake, dataset: str = "reviews") -> DataFrame:
+    """Silver reviews; the fixed schema keeps number-like categories text and allows an empty table."""
+    return spark.read.schema(SILVER_REVIEW).parquet(lake.path("silver", dataset))
+
+
+def land_csv(
+    spark: SparkSession, lake: Lake, source: str, dataset: str = "reviews", multi_line: bool = True
+) -> str:
     """Append a raw review CSV to Bronze unchanged, under today's ``ingest_date``.
 
-    Cells are carried as text, so nothing is cast or dropped; an empty cell comes back as null.
+    Cells are carried as text and columns found by name, so nothing is cast or dropped; an empty
+    cell comes back as null.
     """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_REVIEW])
-    return land(read_csv(spark, source, text_schema), lake, dataset)
+    cells = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(source)
+    return land(cells, lake, dataset)
 
 
 def land(df: DataFrame, lake: Lake, dataset: str = "reviews", max_records: int = 1_000_000) -> str:
     """Append rows to Bronze as CSV; files are cut at ``max_records`` so that reading them scales."""
     path = lake.path("bronze", dataset)
     (
-        df.withColumn("ingest_date", F.date_format(F.current_timestamp(), "yyyy-MM-dd"))
+        df.select(*RAW_REVIEW.names).withColumn("ingest_date", F.date_format(F.current_timestamp(), "yyyy-MM-dd"))
         .write.mode("append")
         .partitionBy("ingest_date")
         .option("maxRecordsPerFile", max_records)
@@ -91,9 +103,12 @@ def land(df: DataFrame, lake: Lake, dataset: str = "reviews", max_records: int =
     return path
 
 
-def read_labelled(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """Labelled texts ``(text, label)`` without the store's own ``_id``."""
-    return spark.read.format(fmt).load(path).drop("_id")
+LABELLED = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.IntegerType())])
+
+
+def read_labelled(spark: SparkSession, path: str, fmt: str = "json", schema: T.StructType = LABELLED) -> DataFrame:
+    """Labelled texts ``(text, label)``; other fields, such as the store's own ``_id``, are left out."""
+    return spark.read.format(fmt).schema(schema).load(path).drop("_id")
 
 
 def write_report(report: DataFrame, path: str) -> None:
