@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,11 @@ from plaudit.operators.isolation_forest import IsolationForest
 from plaudit.operators.quality import REVIEWS_SUITE, Suite, summarise, validate
 from plaudit.operators.scoring import score_sentiment
 from plaudit.plans import analytics, marts, warehouse
+from plaudit.session import ship_package
 from plaudit.sources import generate
 from plaudit.sources.adapter import as_of, table
 from plaudit.sources.lake import Lake, land_csv, read_bronze, write_csv
-from plaudit.storage import work_path
+from plaudit.storage import balanced, work_path
 from plaudit.streaming.jobs import file_messages, read_serving, start_scoring, start_serving
 from plaudit.streaming.messages import parse_messages, score_messages, to_messages
 
@@ -268,6 +270,7 @@ def knn_lsh(spark, directory):
         table(spark, directory, "embeddings"), _label_centres(spark, directory), NEIGHBOURS)
 
 
+@stage.once
 def _topics(spark, directory):
     return topics.fit_topics(stage.silver(spark, directory).select("review_id", "review_text"))
 
@@ -280,7 +283,7 @@ def topic_vocabulary(spark, directory):
 
 def document_vocabulary(spark, directory):
     """The same over the whole texts of the documents."""
-    return topics.vocabulary(table(spark, directory, "documents"), "text", stop_words=TOPIC_STOP_WORDS)
+    return topics.vocabulary(balanced(table(spark, directory, "documents").select("text")), "text", stop_words=TOPIC_STOP_WORDS)
 
 
 def topic_labels(spark, directory):
@@ -318,7 +321,7 @@ def text_classifier(spark, directory):
 
 
 def text_embedding(spark, directory):
-    documents = table(spark, directory, "documents").select("doc_id", "text")
+    documents = balanced(table(spark, directory, "documents").select("doc_id", "text"))
     return embed.embed(documents, "text").select("doc_id", "embedding")
 
 
@@ -383,8 +386,19 @@ def labelled_texts(spark, directory):
     return read_labelled(spark, path).select("text", "label")
 
 
+def _with_package(query: Query) -> Query:
+    """The session may come from outside; its Python workers need this package."""
+
+    @wraps(query)
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, directory)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    query.__name__: query
+    query.__name__: _with_package(query)
     for query in (
         bronze_reviews, csv_landing, layer_counts, silver_reviews,
         gold_daily_category, gold_product_summary, gold_topic_distribution,

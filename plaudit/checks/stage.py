@@ -21,7 +21,9 @@ _done: dict[tuple, object] = {}
 _lock = threading.RLock()
 
 
-def _once(build):
+def once(build):
+    """Runs ``build(spark, directory)`` once per session and directory."""
+
     @wraps(build)
     def wrapper(spark: SparkSession, directory: str):
         key = (spark.sparkContext.applicationId, directory, build.__name__)
@@ -33,26 +35,26 @@ def _once(build):
     return wrapper
 
 
-@_once
+@once
 def _lake(spark: SparkSession, directory: str) -> Lake:
     return Lake(work_path(spark, "lake"))
 
 
-@_once
+@once
 def build_bronze(spark: SparkSession, directory: str) -> Lake:
     lake = _lake(spark, directory)
     land(raw_reviews(spark, directory), lake)
     return lake
 
 
-@_once
+@once
 def build_silver(spark: SparkSession, directory: str) -> Lake:
     lake = build_bronze(spark, directory)
     bronze_to_silver(spark, lake, as_of())
     return lake
 
 
-@_once
+@once
 def build_warehouse(spark: SparkSession, directory: str) -> str:
     root = work_path(spark, "warehouse")
     load_warehouse(silver(spark, directory), root, "load-1", flag=rule_flagged)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from plaudit.functions.sentiment import sentiment_label
 from plaudit.operators.sample import fixed_sample
 from plaudit.operators.topics import HELPER_COLUMNS, MAX_TERMS, fit_tfidf
+from plaudit.storage import balanced
 
 TRAIN_ROWS = 10_000
 TEST_ROWS = 2_000
@@ -62,8 +63,12 @@ def train_classifier(
     ``train`` and ``test`` hold ``key``, a text and a ``label`` of 1..5; fixed-size samples of both
     are used.
     """
-    sampled_train = shift_labels(fixed_sample(train.select(key, text, "label"), train_rows, key, seed)).persist()
-    sampled_test = shift_labels(fixed_sample(test.select(key, text, "label"), test_rows, key, seed)).persist()
+
+    def sampled(df: DataFrame, rows: int) -> DataFrame:
+        # a limit ends in one partition; training should not
+        return shift_labels(balanced(fixed_sample(df.select(key, text, "label"), rows, key, seed))).persist()
+
+    sampled_train, sampled_test = sampled(train, train_rows), sampled(test, test_rows)
     try:
         pipeline, _ = fit_tfidf(sampled_train, text, size)
         train_vectors, test_vectors = pipeline.transform(sampled_train), pipeline.transform(sampled_test)

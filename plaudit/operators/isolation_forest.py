@@ -169,10 +169,10 @@ class IsolationForest:
     def _samples(self, combinations: DataFrame, total: int, sample_size: int) -> DataFrame:
         """``(tree, features)``: up to ``sample_size`` rows for every tree.
 
-        A pool of about ``2 * trees * sample_size`` rows is drawn from the counts; each tree takes
+        A pool of about ``trees * sample_size`` rows is drawn from the counts; each tree takes
         the pool rows with the smallest tokens for its number. No row of the data is visited again.
         """
-        pool_size = 2.0 * self.trees * sample_size
+        pool_size = float(self.trees * sample_size)
         rate = min(1.0, pool_size / total)
         token = F.xxhash64(*self.features, F.lit(self.seed))
         pool = (

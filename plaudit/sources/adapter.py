@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plaudit.storage import balanced
+
 RAW_REVIEWS_SQL = """
 SELECT
   CASE WHEN l_orderkey % 211 = 0 AND l_linenumber = 1 THEN NULL
@@ -49,12 +51,6 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spreads a scan that has fewer tasks than the cluster has cores; a big scan stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_reviews(spark: SparkSession, directory: str) -> DataFrame:
     """Raw reviews, the nine columns of ``schemas.RAW_REVIEW``."""
     return spark.sql(

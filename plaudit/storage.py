@@ -38,3 +38,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spreads rows that come in fewer tasks than the cluster has cores; bigger inputs stay as they are.
+
+    For small inputs with much work per row, which Spark would size by bytes alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
