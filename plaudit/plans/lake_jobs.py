@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from plaudit.operators.clean import clean_reviews
 from plaudit.plans.marts import GOLD_MARTS
 from plaudit.sources.lake import Lake, read_bronze, read_silver
+from plaudit.storage import together
 
 
 def bronze_to_silver(
@@ -41,4 +44,5 @@ def _rows(seen: Observation, df: DataFrame) -> int:
 def silver_to_gold(spark: SparkSession, lake: Lake) -> list[str]:
     """Rewrites the three Gold marts; each scans only the Silver columns it needs."""
     silver = read_silver(spark, lake)
-    return [lake.write_mart(mart(silver), name) for name, mart in GOLD_MARTS.items()]
+    writes = [partial(lambda name, mart: lake.write_mart(mart(silver), name), *item) for item in GOLD_MARTS.items()]
+    return together(spark, writes)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,11 @@ from pyspark.sql import types as T
 
 from plaudit import schemas
 from plaudit.functions.calendar import date_id, is_weekend, iso_weekday
+from plaudit.functions.sentiment import sentiment_label
 from plaudit.operators.anomaly import any_flag, detect, with_rule_flags
 from plaudit.operators.keyed import first_by, insert_ignore, new_rows, number_new, upsert
 from plaudit.operators.quality import Check, DataQualityError, Suite, validate_tables
-from plaudit.functions.sentiment import sentiment_label
+from plaudit.storage import together
 
 TABLES = {
     "dim_date": schemas.DIM_DATE,
@@ -225,15 +227,20 @@ def load_warehouse(
         return spark.read.schema(TABLES[name]).parquet(f"{target}/{name}")
 
     categories = stored("dim_category", merge_categories(before.dim_category, silver))
-    dims = {
-        "dim_category": categories,
-        "dim_date": stored("dim_date", merge_dates(before.dim_date, silver)),
-        "dim_product": stored("dim_product", merge_products(before.dim_product, silver, categories)),
-        "dim_customer": stored("dim_customer", merge_customers(before.dim_customer, silver)),
+
+    def new_facts() -> DataFrame:
+        rows = fact_rows(flag(silver), categories)
+        return new_rows(before.fact_reviews, rows, ["review_id"], FACT_ORDER)
+
+    others = {
+        "dim_date": lambda: merge_dates(before.dim_date, silver),
+        "dim_product": lambda: merge_products(before.dim_product, silver, categories),
+        "dim_customer": lambda: merge_customers(before.dim_customer, silver),
+        "fact_reviews": new_facts,
     }
-    added = stored("fact_reviews", new_rows(
-        before.fact_reviews, fact_rows(flag(silver), categories), ["review_id"], FACT_ORDER))
-    report = check_constraints(spark, Star(**dims, fact_reviews=added))
+    written = together(spark, [partial(lambda name, rows: stored(name, rows()), *item) for item in others.items()])
+    tables = {"dim_category": categories, **dict(zip(others, written))}
+    report = check_constraints(spark, Star(**tables))
     failures = report.filter(~F.col("success")).collect()
     if failures:
         raise DataQualityError(f"load {load}", failures)

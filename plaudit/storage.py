@@ -9,9 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables; a temporary one only on a local master."""
@@ -47,3 +53,9 @@ def balanced(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def together(spark: SparkSession, actions: Sequence[Callable[[], Result]], at_once: int = 4) -> list[Result]:
+    """Runs independent Spark actions a few at a time, so that one's tail does not idle the cluster."""
+    with ThreadPool(max(1, min(at_once, len(actions)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda action: action()), actions)
