@@ -194,10 +194,13 @@ def check_constraints(spark: SparkSession, star: Star) -> DataFrame:
 
 
 def _published(spark: SparkSession, root: str) -> list[str]:
-    """Paths of finished loads, oldest first (load names sort by time)."""
+    """Paths of finished loads, in the order they were finished."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/load_report/_SUCCESS")
     found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
-    return sorted(str(status.getPath().getParent().getParent().toString()) for status in found or [])
+    finished = sorted(
+        (status.getModificationTime(), str(status.getPath().getParent().getParent().toString()))
+        for status in found or [])
+    return [path for _, path in finished]
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
@@ -221,6 +224,8 @@ def load_warehouse(
     spark = silver.sparkSession
     before = read_star(spark, root)
     target = f"{root.rstrip('/')}/{load}"
+    if load in {path.rsplit("/", 1)[-1] for path in _published(spark, root)}:
+        raise ValueError(f"load {load!r} is already published")
 
     def stored(name: str, df: DataFrame) -> DataFrame:
         shaped(df, TABLES[name]).write.mode("overwrite").parquet(f"{target}/{name}")

@@ -68,6 +68,12 @@ def test_same_load_twice_changes_nothing(silver, tmp_path):
     assert {name: sorted(df.collect(), key=str) for name, df in after.tables().items()} == rows
 
 
+def test_a_published_load_is_never_rewritten(silver, tmp_path):
+    load(silver(*FIRST), tmp_path, "load-1")
+    with pytest.raises(ValueError, match="already published"):
+        load(silver(*SECOND), tmp_path, "load-1")
+
+
 def test_broken_constraint_is_not_published(spark, silver, tmp_path):
     load(silver(*FIRST), tmp_path, "load-1")
     bad = silver({"review_id": "r9", "product_id": "p9", "product_name": None})
@@ -75,6 +81,8 @@ def test_broken_constraint_is_not_published(spark, silver, tmp_path):
         load(bad, tmp_path, "load-2")
     assert os.path.exists(tmp_path / "load-2" / "dim_product")
     assert {r.review_id for r in read_star(spark, str(tmp_path)).fact_reviews.collect()} == {"r1", "r2"}
+    load(silver(*SECOND), tmp_path, "load-2")  # the same name is free until it is published
+    assert read_star(spark, str(tmp_path)).fact_reviews.count() == 4
 
 
 def test_constraints_see_orphans_and_repeats(spark, silver):
