@@ -54,8 +54,14 @@ def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, and known to be so by the optimizer, which then drops joins against it."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0).select(*columns).filter(F.lit(False))
+
+
 def empty_star(spark: SparkSession) -> Star:
-    return Star(**{name: spark.createDataFrame([], schema) for name, schema in TABLES.items()})
+    return Star(**{name: empty_table(spark, schema) for name, schema in TABLES.items()})
 
 
 # --- rows derived from Silver ---------------------------------------------------------------

@@ -34,6 +34,18 @@ def s3a_options(endpoint: str, access_key: str, secret_key: str, secure: bool =
     }
 
 
+def sizing_options(input_bytes: int, cores: int, partition_bytes: int = 128 * 1024**2) -> dict[str, str]:
+    """Shuffle and scan sizes for an input: partitions that fit in a core's memory, none idle.
+
+    Adaptive execution merges what turns out smaller; it cannot cut a shuffle finer than this.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(cores, -(-input_bytes // partition_bytes))),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes if input_bytes < 2**40 else 4 * partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def build_session(
     app: str,
     master: str | None = None,

@@ -9,7 +9,7 @@ from plaudit.operators.quality import DataQualityError, validate
 from plaudit.plans.batch import run_batch
 from plaudit.plans.lake_jobs import bronze_to_silver, silver_to_gold
 from plaudit.plans.warehouse import read_star, rule_flagged
-from plaudit.session import s3a_options
+from plaudit.session import s3a_options, sizing_options
 from plaudit.sources.connectors import jdbc_options, kafka_sink, kafka_source
 from plaudit.sources.generate import generate
 from plaudit.sources.lake import Lake, land, land_csv, read_bronze, read_csv, read_labelled, write_csv, write_report
@@ -34,6 +34,11 @@ def test_connector_options():
     assert jdbc_options("jdbc:postgresql://h/db", "u", "p")["url"].startswith("jdbc:")
 
 
+def test_partitions_grow_with_the_input():
+    assert sizing_options(10**6, 8)["spark.sql.shuffle.partitions"] == "8"
+    assert int(sizing_options(100 * 10**12, 4000)["spark.sql.shuffle.partitions"]) == 745059
+
+
 AWKWARD = [
     {"review_id": "a", "review_text": 'He said "great", twice'}, {"review_id": "b", "review_text": "two\nlines, one cell"},
     {"review_id": "c", "review_text": "  edges  "}, {"review_id": "d", "review_text": "back\\slash"},

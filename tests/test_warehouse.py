@@ -47,6 +47,12 @@ def test_first_load(silver, tmp_path):
     assert (fact["r2"].sentiment_stars, fact["r2"].sentiment_label, fact["r2"].word_count) == (1, "negative", 3)
 
 
+def test_first_load_joins_nothing(spark, silver):
+    rows = silver(*FIRST)
+    star = build_star(rows, rule_flagged(rows))
+    assert "LeftAnti" not in star.fact_reviews._jdf.queryExecution().executedPlan().toString()
+
+
 def test_second_load_adds_and_keeps(spark, silver, tmp_path):
     load(silver(*FIRST), tmp_path, "load-1")
     star = load(silver(*SECOND), tmp_path, "load-2")
