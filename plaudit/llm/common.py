@@ -7,10 +7,11 @@ costs the re-run of its tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -22,9 +23,14 @@ _PLAIN = bytes(
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def plain(text: bytes) -> bytes:
+    """Lower-cased, with blanks for all ASCII characters but letters and digits."""
+    return text.translate(_PLAIN)
+
+
 def plain_words(text: bytes) -> list[bytes]:
     """Lower-cased runs of ASCII letters, digits and characters beyond ASCII."""
-    return text.translate(_PLAIN).split()
+    return plain(text).split()
 
 
 def lower_ascii(text: bytes) -> bytes:
@@ -52,16 +58,41 @@ def texts_of(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
+def blocks_of(batches: Iterable[pa.RecordBatch], measure: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Regroups rows into blocks of about ``limit`` bytes of the column ``measure``; a longer row is a block."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def joined() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(measure)), 0).to_numpy(zero_copy_only=False)
+        begin = 0
+        for row, length in enumerate(lengths.tolist()):
+            size += length
+            if size >= limit:
+                held.append(batch.slice(begin, row + 1 - begin))
+                yield joined()
+                held, size, begin = [], 0, row + 1
+        if begin < batch.num_rows:
+            held.append(batch.slice(begin))
+    if held:
+        yield joined()
+
+
 def add_columns(
     df: DataFrame,
     needs: Sequence[str],
     fields: Sequence[StructField],
     make: Callable[[], Callable[[pa.RecordBatch], Sequence]],
+    block_bytes: int = 8 << 20,
 ) -> DataFrame:
-    """Appends columns that Python computes batch by batch; a column of the same name is replaced.
+    """Appends columns that Python computes block by block; a column of the same name is replaced.
 
-    ``make()`` is called once per task and returns the function of a batch, which gives one sequence
-    or Arrow array per field. Columns of ``df`` pass through untouched.
+    A block holds rows with about ``block_bytes`` of the first needed column. ``make()`` is called once
+    per task and returns the function of a block, which gives one sequence or Arrow array per field.
+    Columns of ``df`` pass through untouched.
     """
     new = {field.name.lower() for field in fields}
     # Columns that are needed and replaced travel under a name of their own.
@@ -75,7 +106,7 @@ def add_columns(
 
         step = make()
         types = [to_arrow_type(field.dataType) for field in fields]
-        for batch in batches:
+        for batch in blocks_of(batches, inputs[needs[0]], block_bytes):
             given = pa.RecordBatch.from_arrays([batch.column(a) for a in inputs.values()], names=list(inputs))
             made = [
                 value if isinstance(value, pa.Array) else pa.array(value, kind)

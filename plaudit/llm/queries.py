@@ -4,18 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plaudit.llm import mixing
+from plaudit.llm import decontaminate, mixing, oracle
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 
 
+def op1_benchmark_decontamination(spark, directory):
+    ship_package(spark)
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, directory, "benchmark")).drop("text")
+    return found.select(
+        "doc_id", "n_words", decontaminate.hit_words().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))
+
+
 def op5_source_mixing(spark, directory):
     docs = table(spark, directory, "documents").select("doc_id", "source", "text")
     return mixing.taken_words(mixing.plan_mix(docs), ["doc_id"])
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op5_source_mixing": op5_source_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_benchmark_decontamination": oracle.DECONTAMINATION,
+}
