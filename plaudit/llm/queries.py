@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, mixing, oracle
+from plaudit.llm import decontaminate, mixing, oracle, secrets
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 
@@ -20,6 +20,24 @@ def op1_benchmark_decontamination(spark, directory):
         (F.size("spans") > 0).alias("contaminated"))
 
 
+def _joined_spans(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _count_kind(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op4_secret_scan(spark, directory):
+    ship_package(spark)
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs).drop("text")
+    counts = [_count_kind("base_spans", kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select(
+        "doc_id", *counts, F.sha2(_joined_spans("base_spans"), 256).alias("base_sha256"),
+        _joined_spans("spans").alias("spans"))
+
+
 def op5_source_mixing(spark, directory):
     docs = table(spark, directory, "documents").select("doc_id", "source", "text")
     return mixing.taken_words(mixing.plan_mix(docs), ["doc_id"])
@@ -27,6 +45,7 @@ def op5_source_mixing(spark, directory):
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
 }
 
