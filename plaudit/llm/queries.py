@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, mixing, oracle, secrets
+from plaudit.llm import decontaminate, mixing, oracle, secrets, toxicity
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 
@@ -43,10 +43,18 @@ def op5_source_mixing(spark, directory):
     return mixing.taken_words(mixing.plan_mix(docs), ["doc_id"])
 
 
+def op9_toxicity(spark, directory):
+    ship_package(spark)
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, table(spark, directory, "labels")).drop("text")
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {
