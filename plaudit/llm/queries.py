@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, mixing, oracle, secrets, toxicity
+from plaudit.llm import decontaminate, mixing, oracle, secrets, token_files, toxicity
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
+from plaudit.storage import work_path
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_benchmark_decontamination(spark, directory):
@@ -50,11 +54,20 @@ def op9_toxicity(spark, directory):
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op10_token_output(spark, directory):
+    ship_package(spark)
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    path = work_path(spark, "tokens")
+    token_files.write_tokens(docs, path, public_tokenizers.path(TOKENIZER))
+    return token_files.read_tokens(spark, path)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op9_toxicity": op9_toxicity,
+    "op10_token_output": op10_token_output,
 }
 
 ORACLE: dict[str, str] = {
