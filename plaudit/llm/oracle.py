@@ -15,7 +15,7 @@ place AS (
 met AS (SELECT doc_id, i, k, item FROM place JOIN phrase USING (k, gram)),
 hit AS (
   SELECT doc_id, count(*) AS n_hit
-  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS at FROM met) GROUP BY doc_id),
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS spot FROM met) GROUP BY doc_id),
 listed AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item FROM met WHERE item IS NOT NULL) GROUP BY doc_id)
@@ -23,3 +23,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+SUBSTRING_DEDUP = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+place AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc)),
+first_doc AS (SELECT gram, min(doc_id) AS first_id FROM place GROUP BY gram),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS spot
+  FROM place JOIN first_doc USING (gram) WHERE doc_id > first_id),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS spot FROM doc),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY spot) AS words
+  FROM word ANTI JOIN gone USING (doc_id, spot) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(words, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""

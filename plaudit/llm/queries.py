@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, mixing, oracle, secrets, token_files, toxicity
+from plaudit.llm import decontaminate, mixing, oracle, secrets, substring_dedup, token_files, toxicity
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 from plaudit.storage import work_path
@@ -24,6 +24,14 @@ def op1_benchmark_decontamination(spark, directory):
         (F.size("spans") > 0).alias("contaminated"))
 
 
+def op2_substring_dedup(spark, directory):
+    ship_package(spark)
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    found = substring_dedup.remove_repeats(docs).drop("text")
+    return found.select(
+        "doc_id", "n_words", decontaminate.hit_words().alias("n_removed"), "kept_sha256")
+
+
 def _joined_spans(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -64,6 +72,7 @@ def op10_token_output(spark, directory):
 
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op9_toxicity": op9_toxicity,
@@ -72,4 +81,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op1_benchmark_decontamination": oracle.DECONTAMINATION,
+    "op2_substring_dedup": oracle.SUBSTRING_DEDUP,
 }
