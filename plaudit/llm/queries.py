@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, mixing, oracle, secrets, substring_dedup, token_files, toxicity
+from plaudit.llm import decontaminate, jaccard_join, mixing, oracle, secrets, substring_dedup, token_files, toxicity
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 from plaudit.storage import work_path
@@ -55,6 +55,11 @@ def op5_source_mixing(spark, directory):
     return mixing.taken_words(mixing.plan_mix(docs), ["doc_id"])
 
 
+def op8_ngram_jaccard_join(spark, directory):
+    ship_package(spark)
+    return jaccard_join.jaccard_join(table(spark, directory, "documents"))
+
+
 def op9_toxicity(spark, directory):
     ship_package(spark)
     docs = table(spark, directory, "documents").select("doc_id", "text")
@@ -75,6 +80,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_token_output": op10_token_output,
 }
