@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, jaccard_join, mixing, oracle, secrets, substring_dedup, token_files, toxicity
+from plaudit.llm import decontaminate, jaccard_join, language_model, mixing, oracle, secrets, substring_dedup, token_files, toxicity
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 from plaudit.storage import work_path
@@ -32,6 +32,11 @@ def op2_substring_dedup(spark, directory):
         "doc_id", "n_words", decontaminate.hit_words().alias("n_removed"), "kept_sha256")
 
 
+def op3_lm_scoring(spark, directory):
+    ship_package(spark)
+    return language_model.score_texts(table(spark, directory, "documents"))
+
+
 def _joined_spans(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -78,6 +83,7 @@ def op10_token_output(spark, directory):
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
