@@ -17,7 +17,9 @@ Empty tables give empty files and results. Other columns are not read.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,58 +33,68 @@ from plaudit.llm.elias_fano import EliasFano
 SHARD_SCHEMA = (
     "part int, shard int, id_bytes int, n_docs bigint, n_ids bigint, doc_ids array<bigint>, ends binary, ids binary")
 #: Words whose ids a worker remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
+#: Characters that the tokenizer keeps apart from letters, whatever stands around them.
+MARKS = b".,;:!?*$#&%|()-\""
 
 
 class WordEncoder:
     """Ids of texts, word by word, through a table of words met before."""
 
     def __init__(self, tokenizer: str, end_id: int):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.bytes_as_letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.id_bytes = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.end_id = end_id
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
-        self.first = np.zeros(1 << 16, dtype=np.int64)
-        self.many = np.zeros(1 << 16, dtype=np.int64)
+        self.flat, self.first, self.many = array("I"), array("q"), array("q")
 
     def _add(self, word: bytes, ids: list[int]) -> None:
-        number = len(self.known)
-        while number >= len(self.first):
-            self.first, self.many = np.resize(self.first, 2 * len(self.first)), np.resize(self.many, 2 * len(self.many))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.first[number], self.many[number] = self.used, len(ids)
-        self.used += len(ids)
-        self.known[word] = number
-
-    def _encode(self, words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """A full stop or comma after a letter is a token of its own, so the word before it is looked up alone."""
-        stems: dict[bytes, list[int] | None] = {}
-        for word in words:
-            cut = word[-1:] in (b".", b",") and word[-2:-1].isalpha()
-            stem = word[:-1] if cut else word
-            if stem not in self.known:
-                stems[stem] = None
-            if cut and word[-1:] not in self.known:
-                stems[word[-1:]] = None
-        fresh = list(stems)
-        for word, ids in zip(fresh, self._encode(fresh)):
-            self._add(word, ids)
-        for word in words:
-            if word not in self.known:
-                parts = [self.known[word[:-1]], self.known[word[-1:]]]
-                self._add(word, [i for p in parts for i in self.flat[self.first[p]:self.first[p] + self.many[p]].tolist()])
+        self.known[word] = len(self.first)
+        self.first.append(len(self.flat))
+        self.many.append(len(ids))
+        self.flat.extend(ids)
+
+    def _letters(self, word: bytes) -> list[int] | None:
+        """Ids of a word of letters, which is one piece for the tokenizer's merges; else nothing."""
+        text = word.decode()
+        if text.isascii():
+            if not text.isalpha():
+                return None
+        else:
+            text = self.tokenizer.normalizer.normalize_str(text)
+            if not text.isalpha():
+                return None
+            text = self.bytes_as_letters.pre_tokenize_str(text)[0][0]
+        return [token.id for token in self.tokenizer.model.tokenize(text)]
+
+    def _ids(self, word: bytes) -> list[int]:
+        """Ids of one word. Marks around letters are pieces of their own, so each part is looked up alone."""
+        core = word.strip(MARKS)
+        at = word.find(core)
+        parts = [p for p in (word[:at], core, word[at + len(core):]) if p] if core else [word]
+        if len(parts) == 1:
+            ids = self._letters(word)
+            return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids if ids is None else ids
+        if core not in self.known:
+            ids = self._letters(core)
+            if ids is None:
+                return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            self._add(core, ids)
+        elif not core.decode().isalpha():
+            return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        result: list[int] = []
+        for part in parts:
+            if part not in self.known:
+                self._add(part, self._ids(part))
+            number = self.known[part]
+            result += self.flat[self.first[number]:self.first[number] + self.many[number]]
+        return result
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with the end id after every text, and the ends of the texts in them."""
@@ -91,16 +103,17 @@ class WordEncoder:
         if len(self.known) > REMEMBERED:
             self.forget()
         known = self.known
-        missing = list({w for row in words for w in row if w not in known})
-        if missing:
-            self._learn(missing)
+        for word in set(chain.from_iterable(words)).difference(known):
+            if word not in known:
+                self._add(word, self._ids(word))
+        flat, first, many = (np.array(x) for x in (self.flat, self.first, self.many))
         counts = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        number = np.fromiter((known[w] for row in words for w in row), dtype=np.int64, count=int(counts.sum()))
-        sizes = self.many[number]
+        number = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=int(counts.sum()))
+        sizes = many[number]
         text_ids = np.zeros(len(texts), dtype=np.int64)
         np.add.at(text_ids, np.repeat(np.arange(len(texts)), counts), sizes)
-        at = np.repeat(self.first[number] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        ids = self.flat[at]
+        at = np.repeat(first[number] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        ids = flat[at]
         ends = np.cumsum(text_ids)
         whole = {row: self.tokenizer.encode(texts[row].decode(), add_special_tokens=False).ids for row in marked}
         if whole:
