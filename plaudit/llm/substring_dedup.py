@@ -7,7 +7,8 @@
 3. A document's repeated windows come together and merge into maximal removal intervals.
 
 A passage that a third of all documents share thus costs one entry a block, not one a document, and a
-bucket holds a bounded share of all windows: buckets are as many as ``bucket_bytes`` go into the text.
+bucket holds a bounded share of all windows: buckets are as many as ``bucket_bytes`` go into the text, or
+up to twice as many. The text of documents is compressed while it is shuffled to its intervals.
 Hashes are polynomials modulo 2^64 over 64-bit word hashes; the chance that any two of n distinct windows
 clash is below n^2 / 2^65.
 
@@ -25,9 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from plaudit.llm.common import add_columns, blocks_of, fresh, merged_runs, spaced_words, texts_of
 
@@ -60,13 +62,25 @@ def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Steps between ascending values, byte plane by byte plane, which compresses well."""
-    return np.diff(values, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Steps between ascending values, byte plane by byte plane, compressed."""
+    planes = np.diff(values, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 1)
 
 
 def _from_planes(content: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(content, dtype=np.uint8).reshape(4, -1).T).view("<u4")
-    return np.cumsum(steps.ravel(), dtype=np.int64)
+    planes = np.frombuffer(zstandard.decompress(content), dtype=np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int64)
+
+
+def _upper_bytes(values: np.ndarray) -> bytes:
+    """The upper seven bytes; the lowest one is the same throughout a bucket."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 1:]).tobytes()
+
+
+def _from_upper_bytes(content: bytes) -> np.ndarray:
+    wide = np.zeros((len(content) // 7, 8), dtype=np.uint8)
+    wide[:, 1:] = np.frombuffer(content, dtype=np.uint8).reshape(-1, 7)
+    return wide.view("<u8").ravel()
 
 
 def _grouped_starts(owner: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -129,7 +143,7 @@ def _send(window: int, buckets: int):
                 rows = np.unique(np.searchsorted(firsts, places[mine], side="right") - 1)
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip([
                     b, ids[rows].tobytes(), keys[rows].tobytes(), firsts[rows].tobytes(),
-                    values[mine].tobytes(), _planes(places[mine]), None], types)], names=fields)
+                    _upper_bytes(values[mine]), _planes(places[mine]), None], types)], names=fields)
 
     return run
 
@@ -149,7 +163,7 @@ def _decide(table: pa.Table) -> pa.Table:
         firsts = np.frombuffer(row["firsts"], np.int64)
         places = _from_planes(row["places"])
         document = np.searchsorted(firsts, places, side="right") - 1
-        hashes.append(np.frombuffer(row["hashes"], np.uint64))
+        hashes.append(_from_upper_bytes(row["hashes"]))
         starts.append((places - firsts[document]).astype(np.int32))
         documents.append(document + known)
         ids.append(row_ids)
@@ -181,7 +195,8 @@ def repeated_windows(
 ) -> DataFrame:
     """``id, key, starts``: word positions of windows that start in a smaller document, too."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    buckets = max(64, total // bucket_bytes)
+    # A power of two, so that a bucket's hashes share their lowest byte.
+    buckets = max(256, 1 << (total // bucket_bytes).bit_length())
     send = _send(window, buckets)
 
     def blocks(batches):
@@ -203,16 +218,28 @@ def remove_repeats(
     key, starts, number = (fresh(docs, n) for n in ("text_key", "window_starts", "id_key"))
     repeats = repeated_windows(docs, doc_id, text, window, **sizes).select(
         F.col("id").alias(number), F.col("key").alias(key), F.col("starts").alias(starts))
+    packed = fresh(docs, "packed_text")
+
+    def squeeze():
+        press = zstandard.ZstdCompressor(level=1)
+        return lambda batch: [[t if t is None else press.compress(t) for t in texts_of(batch.column(0))]]
+
     marked = docs.withColumn(key, F.xxhash64(text)).withColumn(number, F.col(doc_id).cast("long"))
-    joined = marked.join(repeats, [number, key], "left")
+    moved = add_columns(marked, [text], [StructField(packed, BinaryType())], squeeze).drop(text)
+    joined = moved.join(repeats, [number, key], "left")
     fields = [
+        StructField(text, StringType()),
         StructField("n_words", LongType()), StructField("spans", ArrayType(SPAN)),
         StructField("kept_sha256", StringType())]
 
     def make():
+        press = zstandard.ZstdDecompressor()
+
         def step(batch: pa.RecordBatch):
-            counts, spans, digests = [], [], []
-            for content, places in zip(texts_of(batch.column(0)), batch.column(1)):
+            texts, counts, spans, digests = [], [], [], []
+            for squeezed, places in zip(batch.column(0).to_pylist(), batch.column(1)):
+                content = squeezed if squeezed is None else press.decompress(squeezed)
+                texts.append(content if content is None else content.decode())
                 words = spaced_words(content or b"")
                 runs = merged_runs(np.asarray(places.values), window) if places.is_valid else []
                 counts.append(len(words))
@@ -220,8 +247,9 @@ def remove_repeats(
                 for a, b in reversed(runs):
                     del words[a:b]
                 digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            return counts, spans, digests
+            return texts, counts, spans, digests
 
         return step
 
-    return add_columns(joined, [text, starts], fields, make).drop(key, number, starts)
+    found = add_columns(joined, [packed, starts], fields, make, 4 << 20).drop(packed, key, number, starts)
+    return found.select(*docs.columns, *[f.name for f in fields[1:] if f.name not in docs.columns])
