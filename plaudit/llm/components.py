@@ -6,6 +6,7 @@ written to the shared folder, so that lineage stays short. A round makes no more
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +45,34 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+
+
+def smallest_linked(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest index linked with each index."""
+    root = np.arange(size)
+    while True:
+        before = root.copy()
+        np.minimum.at(root, a, root[b])
+        np.minimum.at(root, b, root[a])
+        root = root[root]
+        if (root == before).all():
+            return root
+
+
+def in_squares(grouped: DataFrame, contents: DataFrame, block: int) -> DataFrame:
+    """Deals the rows of ``contents`` out so that all members of a component meet in pairs of blocks.
+
+    ``grouped`` is a result of ``components``, ``contents`` has ``node`` and whatever the comparison needs.
+    Adds ``component, block, low, high``: a component of up to ``block`` members is one square (0, 0); a
+    bigger one has as many blocks as that takes, by hash, and a row goes to the square of its block with
+    every block, the smaller number first.
+    """
+    groups = grouped.unionByName(grouped.select(F.col("component").alias("node"), "component").distinct())
+    parts = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    members = groups.join(parts, "component").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    return (
+        contents.join(members, "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+        .drop("other", "parts"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
 from plaudit.llm.common import add_columns, fresh, plain_words, texts_of
-from plaudit.llm.components import components
+from plaudit.llm.components import components, in_squares, smallest_linked
 from plaudit.llm.substring_dedup import WordHashes, window_hashes
 from plaudit.storage import materialise
 
@@ -121,18 +121,6 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return result
 
 
-def _roots(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest index linked with each index."""
-    root = np.arange(size)
-    while True:
-        before = root.copy()
-        np.minimum.at(root, a, root[b])
-        np.minimum.at(root, b, root[a])
-        root = root[root]
-        if (root == before).all():
-            return root
-
-
 def _verify(size: int, threshold: float):
     def run(square: pa.Table) -> pa.Table:
         ids = np.array(square["node"].to_pylist(), dtype=np.int64)
@@ -154,7 +142,7 @@ def _verify(size: int, threshold: float):
         if low != high:  # pairs within one block belong to the square of that block
             linked &= block[:, None] != block[None, :]
         a, b = np.nonzero(linked)
-        root = _roots(len(ids), a, b)
+        root = smallest_linked(len(ids), a, b)
         return pa.table({
             "node": pa.array(ids), "root": pa.array(ids[root]),
             "links": pa.array((linked * copies[None, :]).sum(axis=1).astype(np.int64))})
@@ -181,20 +169,10 @@ def jaccard_join(
         "least <> most").select("tree", "prefix", "least")
     stars = met.join(least, ["tree", "prefix"]).filter("node <> least").select(
         F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    grouped = components(stars)
-    groups = grouped.unionByName(grouped.select(F.col("component").alias("node"), "component").distinct())
-    # Blocks of a group by hash; more blocks than needed by its size would only repeat texts more often.
-    parts = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-    members = (
-        groups.join(parts, "component").join(texts.select("node", "copies"), "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
-    # A text meets every block of its group once: the squares (block, other) with the smaller one first.
-    squares = (
+    contents = (
         docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
-        .join(members, "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                "node", "block", "copies", "text"))
+        .join(texts.select("node", "copies"), "node"))
+    squares = in_squares(components(stars), contents, block)
     verified = materialise(
         squares.groupBy("component", "low", "high").applyInArrow(
             _verify(size, threshold), "node bigint, root bigint, links bigint"), "verified")

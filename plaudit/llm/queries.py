@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, jaccard_join, language_model, mixing, oracle, secrets, substring_dedup, token_files, toxicity
+from plaudit.llm import decontaminate, jaccard_join, language_model, mixing, oracle, secrets, substring_dedup, token_files, toxicity, vector_dedup
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 from plaudit.storage import work_path
@@ -60,6 +60,11 @@ def op5_source_mixing(spark, directory):
     return mixing.taken_words(mixing.plan_mix(docs), ["doc_id"])
 
 
+def op6_embedding_near_dedup(spark, directory):
+    ship_package(spark)
+    return vector_dedup.near_duplicates(table(spark, directory, "embeddings"))
+
+
 def op8_ngram_jaccard_join(spark, directory):
     ship_package(spark)
     return jaccard_join.jaccard_join(table(spark, directory, "documents"))
@@ -86,6 +91,7 @@ QUERIES = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_token_output": op10_token_output,
