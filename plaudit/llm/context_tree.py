@@ -18,7 +18,7 @@ import numpy as np
 
 DEPTH = 6
 END = 255  # in no UTF-8 text
-LEAST = 1
+LEAST = 2
 
 
 def stream_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

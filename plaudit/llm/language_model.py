@@ -228,7 +228,7 @@ def held_out(key, folds: int = 7, fold: int = 2):
 
 
 def score_texts(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", nodes: int = 1 << 21,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", nodes: int = 1 << 19,
     chunk_bytes: int = 12 << 20, bucket_bytes: int = 12 << 20,
 ) -> DataFrame:
     """Per document the columns of ``RESULT``; scores are log10 probabilities of the token sequence."""
