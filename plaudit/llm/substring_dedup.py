@@ -7,15 +7,15 @@
 3. A document's repeated windows come together and merge into maximal removal intervals.
 
 A passage that a third of all documents share thus costs one entry a block, not one a document, and a
-bucket holds a bounded share of all windows: buckets are as many as ``bucket_bytes`` go into the text, or
-up to twice as many. The text of documents is compressed while it is shuffled to its intervals.
+bucket holds a bounded share of all windows: buckets are as many as ``bucket_bytes`` go into the text.
+Texts are compressed while they are shuffled to their intervals.
 Hashes are polynomials modulo 2^64 over 64-bit word hashes; the chance that any two of n distinct windows
 clash is below n^2 / 2^65.
 
 Null and empty texts, and texts shorter than a window, keep all words. A null id is neither smaller nor
 larger than any, so such documents stay whole. Rows with the same id never remove words from each other;
-they are told apart by their text. Empty tables give empty results; input columns named as a result
-column are replaced.
+they are told apart by 16 bits of a hash of the text. Empty tables give empty results; input columns named
+as a result column are replaced.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -35,7 +36,8 @@ from plaudit.llm.common import add_columns, blocks_of, fresh, merged_runs, space
 
 RADIX = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2^64
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-SENT = "bucket int, ids binary, keys binary, firsts binary, hashes binary, places binary, starts array<int>"
+SENT = "bucket int, documents binary, hashes binary, places binary, starts array<int>"
+KEYS = 1 << 16  # of texts; they tell rows with the same id apart
 REPEATS = "id bigint, key bigint, starts array<int>"
 SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
 
@@ -72,15 +74,16 @@ def _from_planes(content: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.int64)
 
 
-def _upper_bytes(values: np.ndarray) -> bytes:
-    """The upper seven bytes; the lowest one is the same throughout a bucket."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 1:]).tobytes()
+def _documents(ids: np.ndarray, firsts: np.ndarray, keys: np.ndarray) -> bytes:
+    """Documents in the order of ids, column by column in steps, byte plane by byte plane, compressed."""
+    columns = np.stack([np.diff(ids, prepend=0), np.diff(firsts, prepend=0), keys], axis=1).astype("<i8")
+    return zstandard.compress(columns.view(np.uint8).reshape(len(ids), -1).T.tobytes(), 1)
 
 
-def _from_upper_bytes(content: bytes) -> np.ndarray:
-    wide = np.zeros((len(content) // 7, 8), dtype=np.uint8)
-    wide[:, 1:] = np.frombuffer(content, dtype=np.uint8).reshape(-1, 7)
-    return wide.view("<u8").ravel()
+def _from_documents(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(content), dtype=np.uint8).reshape(24, -1)
+    columns = np.ascontiguousarray(planes.T).view("<i8").reshape(-1, 3)
+    return np.cumsum(columns[:, 0]), np.cumsum(columns[:, 1]), columns[:, 2]
 
 
 def _grouped_starts(owner: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -93,14 +96,16 @@ def _grouped_starts(owner: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
 
 
 def _send(window: int, buckets: int):
-    fields = ["bucket", "ids", "keys", "firsts", "hashes", "places", "starts"]
-    types = [pa.int32(), *[pa.binary()] * 5, pa.list_(pa.int32())]
+    fields = ["bucket", "documents", "hashes", "places", "starts"]
+    types = [pa.int32(), *[pa.binary()] * 3, pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
         for batch in batches:
             if len(memory) > 300_000:
                 memory.clear()
+            # By id, so that documents pack well.
+            batch = batch.take(pc.sort_indices(batch.column("id")))
             texts = [spaced_words(t or b"") for t in texts_of(batch.column("text"))]
             counts = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
             total = int(counts.sum())
@@ -128,8 +133,8 @@ def _send(window: int, buckets: int):
             owners, starts = _grouped_starts(row[done], places[done] - firsts[row[done]])
             for mine, listed in zip(owners.tolist(), starts):
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip([
-                    int(keys[mine] % buckets), ids[mine:mine + 1].tobytes(), keys[mine:mine + 1].tobytes(),
-                    b"", b"", b"", listed.as_py()], types)], names=fields)
+                    int(ids[mine] % buckets), _documents(ids[mine:mine + 1], np.zeros(1, np.int64), keys[mine:mine + 1]),
+                    b"", b"", listed.as_py()], types)], names=fields)
             places, values = places[open_], values[open_]
             bucket = (values % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -142,8 +147,8 @@ def _send(window: int, buckets: int):
                 mine = order[low:high]
                 rows = np.unique(np.searchsorted(firsts, places[mine], side="right") - 1)
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip([
-                    b, ids[rows].tobytes(), keys[rows].tobytes(), firsts[rows].tobytes(),
-                    _upper_bytes(values[mine]), _planes(places[mine]), None], types)], names=fields)
+                    b, _documents(ids[rows], firsts[rows], keys[rows]),
+                    values[mine].tobytes(), _planes(places[mine]), None], types)], names=fields)
 
     return run
 
@@ -154,16 +159,15 @@ def _decide(table: pa.Table) -> pa.Table:
     hashes, documents, starts = [], [], []
     ids, keys, known = [], [], 0
     for row in table.to_pylist():
-        row_ids, row_keys = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["keys"], np.int64)
+        row_ids, firsts, row_keys = _from_documents(row["documents"])
         if row["starts"] is not None:
             all_ids.append(row_ids)
             all_keys.append(row_keys)
             all_starts.append(pa.array([row["starts"]], pa.list_(pa.int32())))
             continue
-        firsts = np.frombuffer(row["firsts"], np.int64)
         places = _from_planes(row["places"])
         document = np.searchsorted(firsts, places, side="right") - 1
-        hashes.append(_from_upper_bytes(row["hashes"]))
+        hashes.append(np.frombuffer(row["hashes"], np.uint64))
         starts.append((places - firsts[document]).astype(np.int32))
         documents.append(document + known)
         ids.append(row_ids)
@@ -191,19 +195,18 @@ def _decide(table: pa.Table) -> pa.Table:
 
 def repeated_windows(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 50,
-    block_bytes: int = 12 << 20, bucket_bytes: int = 12 << 20,
+    block_bytes: int = 6 << 20, bucket_bytes: int = 12 << 20,
 ) -> DataFrame:
     """``id, key, starts``: word positions of windows that start in a smaller document, too."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    # A power of two, so that a bucket's hashes share their lowest byte.
-    buckets = max(256, 1 << (total // bucket_bytes).bit_length())
+    buckets = max(64, total // bucket_bytes)
     send = _send(window, buckets)
 
     def blocks(batches):
         return send(blocks_of(batches, "text", block_bytes))
 
     sent = (
-        docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
+        docs.select(F.col(doc_id).cast("long").alias("id"), F.pmod(F.xxhash64(text), F.lit(KEYS)).alias("key"), F.col(text).alias("text"))
         .filter(F.col("id").isNotNull())
         .mapInArrow(blocks, SENT))
     return (
@@ -224,7 +227,7 @@ def remove_repeats(
         press = zstandard.ZstdCompressor(level=1)
         return lambda batch: [[t if t is None else press.compress(t) for t in texts_of(batch.column(0))]]
 
-    marked = docs.withColumn(key, F.xxhash64(text)).withColumn(number, F.col(doc_id).cast("long"))
+    marked = docs.withColumn(key, F.pmod(F.xxhash64(text), F.lit(KEYS))).withColumn(number, F.col(doc_id).cast("long"))
     moved = add_columns(marked, [text], [StructField(packed, BinaryType())], squeeze).drop(text)
     joined = moved.join(repeats, [number, key], "left")
     fields = [
