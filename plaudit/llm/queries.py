@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, jaccard_join, language_model, mixing, oracle, secrets, substring_dedup, token_files, toxicity, vector_dedup
+from plaudit.llm import decontaminate, jaccard_join, language_model, license_scan, mixing, oracle, secrets, substring_dedup, token_files, toxicity, vector_dedup
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 from plaudit.storage import work_path
@@ -65,6 +65,18 @@ def op6_embedding_near_dedup(spark, directory):
     return vector_dedup.near_duplicates(table(spark, directory, "embeddings"))
 
 
+def op7_license_scan(spark, directory):
+    ship_package(spark)
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    found = license_scan.find_licenses(docs).drop("text")
+    listed = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))
+    return found.select(
+        "doc_id", "n_words", F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
+        F.coalesce(F.array_max(F.transform("matches", lambda m: m["coverage"])), F.lit(0.0)).alias("best_coverage"),
+        F.array_join(listed, ",").alias("matches"))
+
+
 def op8_ngram_jaccard_join(spark, directory):
     ship_package(spark)
     return jaccard_join.jaccard_join(table(spark, directory, "documents"))
@@ -92,6 +104,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_token_output": op10_token_output,
