@@ -71,6 +71,8 @@ class Nfa:
     def _bytes(kind, value, flags: int) -> frozenset[int]:
         if kind is sre.LITERAL:
             found = {value}
+        elif kind is sre.NOT_LITERAL:
+            found = set(range(256)) - {value}
         elif kind is sre.IN:
             found = set()
             for inner, part in value:

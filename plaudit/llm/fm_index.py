@@ -18,7 +18,7 @@ def suffix_order(symbols: np.ndarray, bits: int) -> np.ndarray:
     within = np.ones(n, dtype=bool)  # no separator among the symbols so far
     for step in range(width):
         ahead = np.zeros(n, dtype=np.int64)
-        ahead[: n - step] = symbols[step:] if step else symbols
+        ahead[: max(0, n - step)] = symbols[step:]
         key <<= bits
         np.add(key, ahead, out=key, where=within)
         within &= ahead != 0
