@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-DEPTH = 6
+DEPTH = 6  # bytes; with the symbol they fit into 63 bits
 END = 255  # in no UTF-8 text
 LEAST = 2
 
@@ -32,12 +32,17 @@ def stream_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def keys_of(content: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Per symbol, the preceding bytes, nearest in the highest place, and the symbol in the lowest."""
-    places = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-    key = np.zeros(len(content), dtype=np.int64)
-    for back in range(1, DEPTH + 1):
-        key[back:] |= content[:-back].astype(np.int64) << (8 * (DEPTH + 1 - back))
-    key |= content
-    return key[places]
+    if not len(starts):
+        return np.zeros(0, dtype=np.int64)
+    # Eight bytes from every position on, as one little-endian number: the last byte is the highest.
+    padded = np.concatenate([content, np.zeros(8, dtype=np.uint8)])
+    ahead = np.ndarray(len(content) - DEPTH, dtype="<i8", buffer=padded, strides=(1,))
+    key = ((ahead & ((1 << 8 * DEPTH) - 1)) << 8) | content[DEPTH:]
+    wanted = np.ones(len(key), dtype=bool)
+    between = starts + lengths - DEPTH  # the end symbols after a text, but for its own
+    for step in range(DEPTH - 1):
+        wanted[between + step] = False
+    return key[wanted]
 
 
 def decisions(keys: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,19 +83,24 @@ class Tree:
         """Natural logarithm of the probability of the symbol of every key, given its context. Keys are sorted."""
         total = np.zeros(len(keys))
         symbol = keys & 255
+        # A decision's counts are part of those of the decision before it, in every context.
+        longest = np.full(len(keys), DEPTH, dtype=np.int8)
         for j in range(8):
             node = (1 << j) | (symbol >> (8 - j))
             chance = np.full(len(keys), 0.5)
-            open_ = np.arange(len(keys))
             for depth in range(DEPTH, -1, -1):
+                open_ = np.flatnonzero(longest == depth)
                 names = self.names[depth]
-                if not len(names) or not len(open_):
+                if not len(open_):
+                    continue
+                if not len(names):
+                    longest[open_] -= 1
                     continue
                 wanted = ((keys[open_] >> (8 * (DEPTH + 1 - depth))) << 8) | node[open_]
                 place = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
                 known = names[place] == wanted
                 chance[open_[known]] = self.ones[depth][place[known]]
-                open_ = open_[~known]
+                longest[open_[~known]] -= 1
             bit = (symbol >> (7 - j)) & 1
             total += np.log(np.where(bit == 1, chance, 1 - chance))
         return total

@@ -56,6 +56,14 @@ def _unpacked(content: bytes, kind) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
 
 
+def chunk_name(batch: pa.RecordBatch) -> int:
+    """A number for the ids and texts of a block, in their order."""
+    name = xxhash.xxh3_64(str(batch.column("doc_id").to_pylist()).encode())
+    for text in texts_of(batch.column("text")):
+        name.update(b"-" if text is None else b"%d:" % len(text) + text)
+    return name.intdigest() - (1 << 63)
+
+
 class Chunk:
     """Token sequences of a block of documents."""
 
@@ -70,10 +78,7 @@ class Chunk:
         self.tokens = np.insert(hashed, np.cumsum(self.counts - 1), END_WORD)
         self.texts = [b" ".join(row) for row in words]
         self.bucket_of = lambda names: (names % np.uint64(buckets)).astype(np.int64)
-        name = xxhash.xxh3_64(str(self.ids.to_pylist()).encode())
-        for text in self.texts:
-            name.update(text + b"\n")
-        self.name = name.intdigest() - (1 << 63)
+        self.name = chunk_name(batch)
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct words by bucket, their number in training documents, and the word of every token."""
@@ -229,7 +234,7 @@ def held_out(key, folds: int = 7, fold: int = 2):
 
 def score_texts(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", nodes: int = 1 << 19,
-    chunk_bytes: int = 12 << 20, bucket_bytes: int = 12 << 20,
+    chunk_bytes: int = 6 << 20, bucket_bytes: int = 12 << 20,
 ) -> DataFrame:
     """Per document the columns of ``RESULT``; scores are log10 probabilities of the token sequence."""
     slim = docs.select(
@@ -246,9 +251,8 @@ def score_texts(
     replies = gathered.filter(F.col("kind") == WORDS).select("chunk", "bucket", "counts")
 
     def name_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = WordHashes()
         for batch in blocks_of(batches, "text", chunk_bytes):
-            name = Chunk(batch, memory, buckets).name
+            name = chunk_name(batch)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(batch.num_rows, name)), *batch.columns, pa.array(np.arange(batch.num_rows))],
                 names=["chunk", "doc_id", "held_out", "text", "place"])
