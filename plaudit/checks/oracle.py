@@ -7,18 +7,14 @@ here shares expressions with the Spark side except the raw-review view and fixed
 from __future__ import annotations
 
 from plaudit.checks.registered import (
-    ANOMALY_SHARE,
-    CUSTOMERS,
     NEIGHBOURS,
     SAMPLE_ROWS,
     SPLIT_DAY,
     TOPIC_STOP_WORDS,
 )
-from plaudit.functions.draws import PRIME, SPREAD, STEP, slot_multiplier
 from plaudit.functions.sentiment import DEFAULT_LEXICON
 from plaudit.operators.quality import REVIEWS_SUITE
 from plaudit.plans.analytics import LABELS, STARS
-from plaudit.sources import generate
 from plaudit.sources.adapter import AS_OF, RAW_REVIEWS_SQL
 
 
@@ -234,70 +230,6 @@ def constraints_sql() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
-# --- generator ------------------------------------------------------------------------------
-
-
-def draw_sql(row: str, seed: int, slot: int) -> str:
-    start = (f"((({row}) % {PRIME}) * {slot_multiplier(seed, slot)}"
-             f" + (({row}) // {PRIME}) * {SPREAD} + {slot}) % {PRIME}")
-    return f"((((({start}) * ({start})) % {PRIME}) * {STEP} + ({start}) * {SPREAD}) % {PRIME})"
-
-
-def choose_sql(row: str, slot: str, size: int, seed: int = 42) -> str:
-    return f"({draw_sql(row, seed, generate.SLOT[slot])} % {size})"
-
-
-def at(values, index: str) -> str:
-    return f"([{listed(values)}])[{index} + 1]"
-
-
-def synthetic_sql() -> str:
-    def pick(slot, size):
-        return choose_sql("row_id", slot, size)
-
-    def customer(row, slot):
-        return f"'cust_' || lpad(CAST({choose_sql(row, slot, CUSTOMERS)} AS VARCHAR), 5, '0')"
-
-    def padded(row, width):
-        return f"lpad(CAST({row} AS VARCHAR), CAST(greatest({width}, length(CAST({row} AS VARCHAR))) AS INTEGER), '0')"
-
-    products = [p for names in generate.PRODUCTS.values() for p in names]
-    drawn = f"""
-        SELECT o_orderkey AS row_id, {choose_sql('o_orderkey', 'category', 5)} AS c,
-               {choose_sql('o_orderkey', 'product', 5)} AS p, {choose_sql('o_orderkey', 'topic', 6)} AS t,
-               {choose_sql('o_orderkey', 'polarity', 3)} <> 1 AS positive,
-               {choose_sql('o_orderkey', 'phrase', 3)} AS f, {choose_sql('o_orderkey', 'rating', 3)} AS r
-        FROM orders"""
-    named = f"SELECT *, {at(products, '(c * 5 + p)')} AS product FROM drawn"
-    mention = f"replace({at(generate.MENTIONS, pick('mention', 4))}, '%s', lower(product))"
-    phrase = (f"CASE WHEN positive THEN {at(sum(generate.POSITIVE_PHRASES, ()), '(t * 3 + f)')}"
-              f" ELSE {at(sum(generate.NEGATIVE_PHRASES, ()), '(t * 3 + f)')} END")
-    base = f"""
-        SELECT row_id, 'r_' || {padded('row_id', 7)} AS review_id,
-               'p_' || lpad(CAST((c * 5 + p + 1) * 3571 % 100000 AS VARCHAR), 5, '0') AS product_id,
-               product AS product_name, {at(generate.CATEGORIES, 'c')} AS category,
-               {customer('row_id', 'customer')} AS customer_id,
-               CAST(CASE WHEN positive THEN CASE WHEN r = 0 THEN 4 ELSE 5 END
-                         ELSE CASE WHEN r = 0 THEN 2 ELSE 1 END END AS INTEGER) AS rating,
-               concat_ws(' ', nullif({at(generate.OPENERS, pick('opener', 9))}, ''), nullif({mention}, ''), {phrase},
-                         nullif({at(generate.CLOSERS, pick('closer', 10))}, '')) AS review_text,
-               {at(generate.TOPICS, 't')} AS topic,
-               CAST(DATE '{generate.FIRST_DAY}' + CAST({pick('date', 641)} AS INTEGER) AS VARCHAR) AS review_date
-        FROM named"""
-    spam = f"{choose_sql('row_id', 'kind', 2)} = 0"
-    injected = f"""
-        SELECT CASE WHEN {spam} THEN 'r_spam_' ELSE 'r_mismatch_' END || {padded('row_id', 9)} AS review_id,
-               product_id, product_name, category,
-               CASE WHEN {spam} THEN {customer('row_id', 'spammer')} ELSE customer_id END AS customer_id,
-               CASE WHEN {spam} THEN rating ELSE 5 END AS rating,
-               CASE WHEN {spam} THEN review_text ELSE {quoted(generate.MISMATCH_TEXT)} END AS review_text,
-               topic, review_date
-        FROM base WHERE {choose_sql('row_id', 'anomaly', 10_000)} < {int(ANOMALY_SHARE * 10_000)}"""
-    return statement(
-        f"SELECT * EXCLUDE (row_id) FROM base UNION ALL {injected}",
-        extra={"drawn": drawn, "named": named, "base": base})
-
-
 # --- text and vectors -----------------------------------------------------------------------
 
 
@@ -486,7 +418,6 @@ def oracle_statements() -> dict[str, str]:
         "search_index": statement(
             "SELECT review_id, review_text, category, rating, sentiment_stars, sentiment_label FROM scored", "scored"),
         "search_upsert": search_upsert_sql(),
-        "synthetic_reviews": synthetic_sql(),
         "stream_scored": stream_sql("review_id, category, rating, sentiment_stars, sentiment_label"),
         "stream_serving": statement("SELECT DISTINCT review_id FROM raw WHERE review_id IS NOT NULL", "raw"),
         "batch_scored_messages": stream_sql(

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plaudit.checks import stage
-from plaudit.functions.draws import choose
 from plaudit.operators import anomaly, classify, embed, keyed, sample, similar, topics
 from plaudit.operators.clean import clean_reviews
 from plaudit.operators.documents import search_documents, upsert_documents
@@ -18,7 +17,6 @@ from plaudit.operators.quality import REVIEWS_SUITE, Suite, summarise, validate
 from plaudit.operators.scoring import score_sentiment
 from plaudit.plans import analytics, marts, warehouse
 from plaudit.session import ship_package
-from plaudit.sources import generate
 from plaudit.sources.adapter import as_of, table
 from plaudit.sources.lake import Lake, land_csv, read_bronze, write_csv
 from plaudit.storage import balanced, work_path
@@ -31,8 +29,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPLIT_DAY = "1996-01-01"
 TOPIC_STOP_WORDS = ("the", "it", "to", "this", "with", "at", "does", "though")
 SAMPLE_ROWS = 1000
-ANOMALY_SHARE = 0.03
-CUSTOMERS = 500
 NEIGHBOURS = 10
 
 
@@ -248,7 +244,7 @@ def seeded_sample(spark, directory):
 
 
 def seeded_shuffle(spark, directory):
-    return generate.shuffled(stage.silver(spark, directory).select("review_id", "rating"), "review_id", seed=7)
+    return sample.shuffled(stage.silver(spark, directory).select("review_id", "rating"), "review_id", seed=7)
 
 
 def _label_centres(spark, directory):
@@ -338,14 +334,6 @@ def search_upsert(spark, directory):
     return upsert_documents(existing, incoming)
 
 
-def synthetic_reviews(spark, directory):
-    """One synthetic review per order, plus injected ones for a share of the orders."""
-    rows = table(spark, directory, "orders").select(F.col("o_orderkey").alias("row_id"))
-    picked = rows.withColumn("anomaly_no", F.col("row_id")).filter(
-        choose(F.col("row_id"), 42, generate.SLOT["anomaly"], 10_000) < int(ANOMALY_SHARE * 10_000))
-    return generate.reviews_for(rows, CUSTOMERS).unionByName(generate.anomalies_for(picked, CUSTOMERS))
-
-
 def _message_files(spark, directory) -> str:
     path = work_path(spark, "messages")
     messages = to_messages(stage.raw(spark, directory)).select("value")
@@ -410,6 +398,6 @@ QUERIES: dict[str, Query] = {
         parameter_query, json_round_trip, event_props, seeded_sample, seeded_shuffle,
         knn_cosine, knn_lsh, topic_vocabulary, document_vocabulary, topic_labels, topic_terms, topic_sizes,
         outlier_forest, review_anomalies, text_classifier, text_embedding, search_index, search_upsert,
-        synthetic_reviews, stream_scored, stream_serving, batch_scored_messages, labelled_texts,
+        stream_scored, stream_serving, batch_scored_messages, labelled_texts,
     )
 }

@@ -19,18 +19,12 @@ from plaudit.plans.lake_jobs import bronze_to_silver, silver_to_gold
 from plaudit.plans.warehouse import load_warehouse
 from plaudit.session import build_session
 from plaudit.sources.connectors import kafka_sink, kafka_source, publish, read_stream
-from plaudit.sources.generate import generate, shuffled
 from plaudit.sources.lake import Lake, land_csv, read_csv, read_labelled, read_silver, write_csv, write_report
 from plaudit.storage import materialise
 from plaudit.streaming.jobs import start_scoring
 from plaudit.streaming.messages import to_messages
 
 
-def run_generate(spark: SparkSession, args) -> int:
-    write_csv(shuffled(generate(spark, args.rows, args.seed), seed=args.seed), args.out)
-    return 0
-
-
 def run_land(spark: SparkSession, args) -> int:
     print(land_csv(spark, Lake(args.lake), args.source))
     return 0
@@ -136,7 +130,6 @@ def parser() -> argparse.ArgumentParser:
             else:
                 sub.add_argument(flag, default=default, type=type(default) if default is not None else str)
 
-    command("generate", run_generate, "out", rows=5000, seed=42)
     command("land", run_land, "source", "lake")
     command("silver", run_silver, "lake")
     command("gold", run_gold, "lake")

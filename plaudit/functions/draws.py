@@ -1,46 +1,12 @@
-"""Repeatable pseudo-random draws computed from ids.
-
-A draw depends on the id, the seed and a slot number only, never on partitioning, so a lost task
-recomputes the same rows. The arithmetic stays below 2^63 and can be repeated in any SQL engine.
-"""
+"""Repeatable random orders computed from keys, whatever the partitioning."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRIME = 2147483647  # 2^31 - 1
-STEP = 48271
-SPREAD = 69621
-
-
-def slot_multiplier(seed: int, slot: int) -> int:
-    """A different odd multiplier for every (seed, slot)."""
-    return (seed * 7919 + slot * 104729 + 12345) % 1000003 * 2 + 1
-
-
-def draw(row: Column, seed: int, slot: int) -> Column:
-    """Integer in 0 .. PRIME - 1."""
-    low = F.pmod(row, F.lit(PRIME))
-    high = ((row - low) / F.lit(PRIME)).cast("long")
-    start = (low * slot_multiplier(seed, slot) + high * SPREAD + slot) % PRIME
-    mixed = (start * start) % PRIME
-    return (mixed * STEP + start * SPREAD) % PRIME
-
-
-def choose(row: Column, seed: int, slot: int, size: int) -> Column:
-    """Integer in 0 .. size - 1; two draws are combined when one cannot cover the range evenly."""
-    if size < 100_000:
-        return draw(row, seed, slot) % size
-    return (draw(row, seed, slot) * PRIME + draw(row, seed, slot + 500)) % size
-
 
 def order_token(seed: int, *columns: Column) -> Column:
     """32 hex digits that order rows randomly but repeatably."""
     parts = [F.coalesce(column.cast("string"), F.lit("")) for column in columns]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
-
-
-def token_share(share: float) -> str:
-    """Largest 8-digit hex prefix inside the first ``share`` of all tokens."""
-    return f"{min(int(share * 2**32), 2**32 - 1):08x}"

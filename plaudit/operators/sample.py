@@ -1,29 +1,23 @@
-"""Fixed-size repeatable samples."""
+"""Fixed-size repeatable samples and repeatable random orders."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plaudit.functions.draws import order_token, token_share
+from plaudit.functions.draws import order_token
 
 
 def fixed_sample(df: DataFrame, size: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly ``size`` rows (all, if there are fewer), the same for the same seed and keys.
 
-    Rows are ranked by a token made from the key. Ranking all of them would bring ``size`` rows of
-    every partition into one task, so a share that almost surely holds enough is filtered first;
-    the result is the same, and if the share should be short the filter is left out.
+    Rows are ranked by a token made from the key; every task keeps its first ``size`` rows.
     """
     token = order_token(seed, F.col(key))
-    total = df.count()
-    wanted = size + 8 * math.sqrt(size) + 64
-    candidates = df
-    if total > 2 * wanted:
-        narrowed = df.filter(F.substring(token, 1, 8) <= token_share(wanted / total))
-        if narrowed.count() >= size:
-            candidates = narrowed
     rest = [name for name, kind in df.dtypes if name != key and not kind.startswith(("map", "struct"))]
-    return candidates.orderBy(token, key, *rest).limit(size)
+    return df.orderBy(token, key, *rest).limit(size)
+
+
+def shuffled(df: DataFrame, key: str = "review_id", seed: int = 42) -> DataFrame:
+    """Rows in a repeatable random order (a distributed range sort, not a single task)."""
+    return df.orderBy(order_token(seed, F.col(key)), key)

@@ -50,3 +50,29 @@ def reviews(spark):
             [tuple({**plain, **row}[f.name] for f in RAW_REVIEW) for row in rows], RAW_REVIEW)
 
     return make
+
+
+@pytest.fixture(scope="session")
+def many_reviews(spark):
+    """Makes a clean review table of this many rows; the text says what the rating says."""
+    from pyspark.sql import functions as F
+
+    from plaudit.schemas import RAW_REVIEW
+
+    categories = ("Electronics", "Books", "Home & Kitchen", "Fashion", "Beauty")
+    said = {1: "Terrible, broke at once", 2: "Poor finish, disappointed", 4: "Great value", 5: "I love it, perfect"}
+
+    def make(rows, first=0):
+        number = F.col("id")
+        rating = F.element_at(F.array(*[F.lit(r) for r in said]), (number % 4 + 1).cast("int"))
+        text = F.element_at(F.array(*[F.lit(t) for t in said.values()]), (number % 4 + 1).cast("int"))
+        category = F.element_at(F.array(*[F.lit(c) for c in categories]), (number % 5 + 1).cast("int"))
+        return spark.range(first, first + rows).select(
+            F.format_string("r%05d", number).alias("review_id"), F.format_string("p%d", number % 25).alias("product_id"),
+            F.format_string("Product %d", number % 25).alias("product_name"), category.alias("category"),
+            F.format_string("c%d", number % 97).alias("customer_id"), rating.cast("int").alias("rating"),
+            F.concat(text, F.lit(", order "), number).alias("review_text"), F.lit("price").alias("topic"),
+            F.date_add(F.lit("2024-01-01").cast("date"), (number % 300).cast("int")).cast("string").alias("review_date"),
+        ).select(*RAW_REVIEW.names)
+
+    return make

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from plaudit.operators.anomaly import detect, flag_summary, with_text_spread
 from plaudit.operators.isolation_forest import IsolationForest, grow_tree, mean_path
-from plaudit.sources.generate import generate
 
 
 def test_contradicting_rating_is_flagged(reviews):
@@ -114,10 +113,13 @@ def test_one_combination_holding_a_third_of_the_rows(spark):
     assert model.transform(df).count() == 6000
 
 
-def test_injected_rows_are_found(spark):
-    flagged = detect(generate(spark, 2000, seed=5)).cache()
-    mismatch = flagged.filter(F.col("review_id").startswith("r_mismatch"))
-    assert mismatch.count() > 0 and mismatch.filter(~F.col("is_suspicious")).count() == 0
+def test_planted_rows_are_found(many_reviews, reviews):
+    planted = reviews(*[
+        {"review_id": f"planted{n}", "rating": 5, "review_text": f"Terrible, broke, poor and disappointed, {n}"}
+        for n in range(60)])
+    flagged = detect(many_reviews(2000).unionByName(planted)).cache()
+    mismatch = flagged.filter(F.col("review_id").startswith("planted"))
+    assert mismatch.count() == 60 and mismatch.filter(~F.col("is_suspicious")).count() == 0
     (summary,) = flag_summary(flagged).collect()
     assert summary.reviews == 2060 and 0 < summary.outlier <= 0.06 * 2060
     assert summary.suspicious_share == round(summary.suspicious / 2060, 4)

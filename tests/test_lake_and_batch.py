@@ -11,7 +11,6 @@ from plaudit.plans.lake_jobs import bronze_to_silver, silver_to_gold
 from plaudit.plans.warehouse import read_star, rule_flagged
 from plaudit.session import s3a_options, sizing_options
 from plaudit.sources.connectors import jdbc_options, kafka_sink, kafka_source
-from plaudit.sources.generate import generate
 from plaudit.sources.lake import Lake, land, land_csv, read_bronze, read_csv, read_labelled, write_csv, write_report
 
 
@@ -104,9 +103,9 @@ def test_report_as_json(spark, reviews, tmp_path):
     assert spark.read.json(str(tmp_path / "report")).filter("success").count() == 6
 
 
-def test_whole_chain(spark, tmp_path):
+def test_whole_chain(spark, many_reviews, tmp_path):
     source = str(tmp_path / "source")
-    write_csv(generate(spark, 600, seed=9), source)
+    write_csv(many_reviews(618), source)
     lake, warehouse = Lake(str(tmp_path / "lake")), str(tmp_path / "warehouse")
     result = run_batch(spark, lake, source, warehouse, load="load-1")
     assert result.counts == {"raw": 618, "silver": 618}
