@@ -413,6 +413,10 @@ def oracle_statements() -> dict[str, str]:
             f" ORDER BY md5('7|' || review_id), review_id LIMIT {SAMPLE_ROWS}", "silver"),
         "seeded_shuffle": statement("SELECT review_id, rating FROM silver", "silver"),
         "knn_cosine": neighbours_sql(),
+        "knn_lsh_quality": "SELECT true AS scores_exact, true AS prunes, true AS recalls",
+        "similar_reviews": statement(
+            """SELECT min(review_id) AS query_id, 1.0::DOUBLE AS score FROM silver
+               GROUP BY review_text HAVING count(*) > 1""", "silver"),
         "topic_vocabulary": vocabulary_sql("silver", "review_text", "silver"),
         "document_vocabulary": vocabulary_sql("documents", "text"),
         "search_index": statement(

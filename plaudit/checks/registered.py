@@ -266,6 +266,35 @@ def knn_lsh(spark, directory):
         table(spark, directory, "embeddings"), _label_centres(spark, directory), NEIGHBOURS)
 
 
+def knn_lsh_quality(spark, directory):
+    """Whether hashed search scores exactly, tries fewer than half of all pairs, and finds 70 % of neighbours."""
+    corpus, queries = table(spark, directory, "embeddings"), _label_centres(spark, directory)
+    keys = ["query_id", "vec_id"]
+    exact = similar.nearest(corpus, queries, NEIGHBOURS)
+    tried = similar.hashed_candidates(corpus, queries)
+    hashed = similar.nearest_hashed(corpus, queries, NEIGHBOURS)
+    both = exact.join(hashed.select(*keys, F.col("score").alias("hashed_score")), keys, "left").agg(
+        F.avg(F.col("hashed_score").isNotNull().cast("int")).alias("recall"),
+        F.max(F.abs(F.col("score") - F.col("hashed_score"))).alias("error"))
+    counts = tried.agg(F.count(F.lit(1)).alias("tried"))
+    sizes = corpus.agg(F.count(F.lit(1)).alias("vectors")), queries.agg(F.count(F.lit(1)).alias("asked"))
+    row = [both, counts, *sizes]
+    one = [part.withColumn("one", F.lit(1)) for part in row]
+    joined = one[0].join(one[1], "one").join(one[2], "one").join(one[3], "one")
+    return joined.select(
+        (F.col("error") <= 2e-6).alias("scores_exact"),
+        (F.col("tried") < 0.5 * F.col("vectors") * F.col("asked")).alias("prunes"),
+        (F.col("recall") >= 0.7).alias("recalls"))
+
+
+def similar_reviews(spark, directory):
+    """The score of the most similar other review, for the first review of each text of several reviews."""
+    reviews = stage.silver(spark, directory).select("review_id", "review_text")
+    wanted = reviews.groupBy("review_text").agg(F.min("review_id").alias("review_id"), F.count(F.lit(1)).alias("n"))
+    found = similar.similar_reviews(reviews, wanted.filter("n > 1").select("review_id", "review_text"), 1, exact=True)
+    return found.select("query_id", F.round("score", 4).alias("score"))
+
+
 @stage.once
 def _topics(spark, directory):
     return topics.fit_topics(stage.silver(spark, directory).select("review_id", "review_text"))
@@ -396,7 +425,7 @@ QUERIES: dict[str, Query] = {
         insert_ignore, customer_upsert, surrogate_keys_incremental,
         stg_reviews, mart_category_sentiment, mart_daily_trends, overview, by_category, daily, suspicious,
         parameter_query, json_round_trip, event_props, seeded_sample, seeded_shuffle,
-        knn_cosine, knn_lsh, topic_vocabulary, document_vocabulary, topic_labels, topic_terms, topic_sizes,
+        knn_cosine, knn_lsh, knn_lsh_quality, similar_reviews, topic_vocabulary, document_vocabulary, topic_labels, topic_terms, topic_sizes,
         outlier_forest, review_anomalies, text_classifier, text_embedding, search_index, search_upsert,
         stream_scored, stream_serving, batch_scored_messages, labelled_texts,
     )

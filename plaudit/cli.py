@@ -13,6 +13,7 @@ from plaudit.operators.anomaly import detect, flag_summary
 from plaudit.operators.classify import train_classifier
 from plaudit.operators.documents import search_documents, upsert_documents
 from plaudit.operators.quality import REVIEWS_SUITE, load_suite, summarise, validate
+from plaudit.operators.similar import similar_reviews
 from plaudit.operators.topics import fit_topics
 from plaudit.plans.batch import run_batch
 from plaudit.plans.lake_jobs import bronze_to_silver, silver_to_gold
@@ -113,6 +114,13 @@ def run_index(spark: SparkSession, args) -> int:
     return 0
 
 
+def run_similar(spark: SparkSession, args) -> int:
+    """The reviews most like those of another file, as CSV."""
+    found = similar_reviews(read_csv(spark, args.source), read_csv(spark, args.wanted), args.k, exact=args.exact)
+    write_csv(found, args.out)
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="plaudit", description=__doc__)
     top.add_argument("--master", help="Spark master; by default the one spark-submit sets")
@@ -143,6 +151,7 @@ def parser() -> argparse.ArgumentParser:
             starting="latest")
     command("train", run_train, "train", "test", "out")
     command("index", run_index, "source", "out", previous=None, no_vector=False)
+    command("similar", run_similar, "source", "wanted", "out", k=10, exact=False)
     return top
 
 
