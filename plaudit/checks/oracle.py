@@ -330,6 +330,21 @@ def stream_sql(columns: str) -> str:
             FROM raw WHERE review_id IS NOT NULL"""})
 
 
+def serving_sql() -> str:
+    ranked = """SELECT *, CAST(rating AS BIGINT) AS arrival, row_number() OVER (
+                  PARTITION BY review_id ORDER BY rating DESC NULLS LAST, category NULLS FIRST, sentiment_stars,
+                  sentiment_label) AS place
+                FROM all_scored"""
+    return statement(
+        "SELECT review_id, category, rating, sentiment_stars, sentiment_label, arrival FROM ranked WHERE place = 1",
+        "raw",
+        extra={
+            "starred": f"""SELECT *, CAST({stars("coalesce(review_text, '')")} AS INTEGER) AS sentiment_stars
+                           FROM raw WHERE review_id IS NOT NULL""",
+            "all_scored": f"SELECT *, {label('sentiment_stars')} AS sentiment_label FROM starred",
+            "ranked": ranked})
+
+
 def oracle_statements() -> dict[str, str]:
     p_types = ("LARGE", "MEDIUM", "ECONOMY", "PROMO", "SMALL", "STANDARD")
     totals = "count(*) AS reviews, round(avg(rating), 3) AS avg_rating"
@@ -423,7 +438,7 @@ def oracle_statements() -> dict[str, str]:
             "SELECT review_id, review_text, category, rating, sentiment_stars, sentiment_label FROM scored", "scored"),
         "search_upsert": search_upsert_sql(),
         "stream_scored": stream_sql("review_id, category, rating, sentiment_stars, sentiment_label"),
-        "stream_serving": statement("SELECT DISTINCT review_id FROM raw WHERE review_id IS NOT NULL", "raw"),
+        "stream_serving": serving_sql(),
         "batch_scored_messages": stream_sql(
             """review_id AS key, '{"review_id":"' || review_id || '","category":"' || category || '","rating":' || rating
                || ',"sentiment_stars":' || sentiment_stars || ',"sentiment_label":"' || sentiment_label || '"}' AS value"""),

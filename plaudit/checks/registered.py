@@ -355,12 +355,15 @@ def search_index(spark, directory):
 
 
 def search_upsert(spark, directory):
-    """Early reviews are indexed, then all late ones and the early five-star ones again, without text."""
+    """Early reviews are indexed, then all late ones and, twice, the early five-star ones; the later text wins."""
     before, after = _halves(spark, directory)
-    again = before.filter("rating = 5").withColumn("review_text", F.lit("edited review"))
+    first = before.filter("rating = 5").withColumn("review_text", F.lit("zz first edit"))
+    again = first.withColumn("review_text", F.lit("edited review"))
+    written = [part.withColumn("written", F.lit(n)) for n, part in enumerate((after, first, again))]
     existing = search_documents(before, with_vector=False)
-    incoming = search_documents(after.unionByName(again), with_vector=False)
-    return upsert_documents(existing, incoming)
+    incoming = search_documents(
+        written[0].unionByName(written[1]).unionByName(written[2]), with_vector=False, keep=("written",))
+    return upsert_documents(existing, incoming, ("written",))
 
 
 def _message_files(spark, directory) -> str:
@@ -381,11 +384,16 @@ def stream_scored(spark, directory):
 
 
 def stream_serving(spark, directory):
-    """The scored stream folded into a serving table, one row per review."""
+    """The scored stream folded into a serving table: per review the row that arrived last.
+
+    The raw reviews have no arrival time; their rating stands for it.
+    """
     out, checkpoint = work_path(spark, "serving"), work_path(spark, "serving-checkpoint")
-    scored = score_messages(file_messages(spark, _message_files(spark, directory)))
+    messages = file_messages(spark, _message_files(spark, directory)).withColumn(
+        "arrival", F.get_json_object("value", "$.rating").cast("long"))
+    scored = score_messages(messages, carry=("arrival",))
     start_serving(scored, out, checkpoint, {"availableNow": True}).awaitTermination()
-    return read_serving(spark, out).select("review_id")
+    return read_serving(spark, out, ("arrival",))
 
 
 def batch_scored_messages(spark, directory):

@@ -108,9 +108,9 @@ def run_train(spark: SparkSession, args) -> int:
 
 def run_index(spark: SparkSession, args) -> int:
     """Writes a new search table: the previous one with the documents of this file put in."""
-    documents = search_documents(read_csv(spark, args.source), with_vector=not args.no_vector)
-    base = spark.read.parquet(args.previous) if args.previous else documents.limit(0)
-    upsert_documents(base, documents).write.mode("errorifexists").parquet(args.out)
+    documents = search_documents(read_csv(spark, args.source), with_vector=not args.no_vector, keep=(args.order,))
+    base = spark.read.parquet(args.previous) if args.previous else documents.drop(args.order).limit(0)
+    upsert_documents(base, documents, (args.order,)).write.mode("errorifexists").parquet(args.out)
     return 0
 
 
@@ -150,7 +150,7 @@ def parser() -> argparse.ArgumentParser:
     command("stream", run_stream, "servers", "checkpoint", topic="reviews.raw", scored="reviews.scored",
             starting="latest")
     command("train", run_train, "train", "test", "out")
-    command("index", run_index, "source", "out", previous=None, no_vector=False)
+    command("index", run_index, "source", "out", previous=None, order="review_date", no_vector=False)
     command("similar", run_similar, "source", "wanted", "out", k=10, exact=False)
     return top
 

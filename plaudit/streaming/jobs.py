@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +49,8 @@ def start_serving(
     """Feeds the serving table from a stream.
 
     Each micro-batch becomes one ``batch_id`` partition. A repeated batch overwrites its own
-    partition, so a restart neither loses nor doubles rows, and no batch rewrites older data.
+    partition, so a restart neither loses nor doubles rows, and no batch rewrites older data. Rows should
+    carry what orders them inside a batch, such as offset or arrival time (see ``read_serving``).
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -59,8 +60,21 @@ def start_serving(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def read_serving(spark: SparkSession, path: str, key: str = "review_id") -> DataFrame:
-    """The newest row per key of the serving table."""
+def read_serving(
+    spark: SparkSession, path: str, order: Sequence[str], key: str = "review_id"
+) -> DataFrame:
+    """The newest row per key of the serving table: of the last batch, and there the last by ``order``."""
+    if not order:
+        raise ValueError("name the columns that order rows inside a batch")
     stored = spark.read.parquet(path)
-    rest = [name for name in stored.columns if name not in (key, "batch_id")]
-    return first_by(stored, [key], [F.desc("batch_id"), *rest]).drop("batch_id")
+    newest = [F.desc("batch_id"), *[F.col(name).desc_nulls_last() for name in order]]
+    rest = [name for name in stored.columns if name not in (key, "batch_id", *order)]
+    return first_by(stored, [key], [*newest, *rest]).drop("batch_id")
+
+
+def compact_serving(spark: SparkSession, path: str, target: str, order: Sequence[str], key: str = "review_id") -> None:
+    """Writes the newest rows to a new serving table, as its batch -1; later batches of a stream go on top.
+
+    Run it on a stopped stream, then start the stream with the same checkpoint on ``target``.
+    """
+    read_serving(spark, path, order, key).write.parquet(f"{target.rstrip('/')}/batch_id=-1")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,9 +14,15 @@ from plaudit.schemas import REVIEW_MESSAGE
 SCORED_COLUMNS = ("review_id", "category", "rating", "sentiment_stars", "sentiment_label")
 
 
-def parse_messages(messages: DataFrame, schema: T.StructType = REVIEW_MESSAGE) -> DataFrame:
-    """``value`` bytes or text to columns; a field that does not fit is null, extra fields are ignored."""
-    return messages.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
+def parse_messages(
+    messages: DataFrame, schema: T.StructType = REVIEW_MESSAGE, carry: Sequence[str] = (),
+) -> DataFrame:
+    """``value`` bytes or text to columns; a field that does not fit is null, extra fields are ignored.
+
+    ``carry`` names columns of the source to keep, such as offset or arrival time.
+    """
+    return messages.select(
+        *carry, F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*", *carry)
 
 
 def unusable(messages: DataFrame) -> DataFrame:
@@ -23,10 +31,10 @@ def unusable(messages: DataFrame) -> DataFrame:
     return messages.filter(F.coalesce(parsed["review_id"], F.lit("")) == "")
 
 
-def score_messages(messages: DataFrame, load: StarModel | None = None) -> DataFrame:
-    """Scored reviews of a batch or stream; one narrow stage without state."""
-    parsed = parse_messages(messages).filter(F.col("review_id").isNotNull())
-    return score_sentiment(parsed, load=load).select(*SCORED_COLUMNS)
+def score_messages(messages: DataFrame, load: StarModel | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """Scored reviews of a batch or stream, with the columns ``carry``; one narrow stage without state."""
+    parsed = parse_messages(messages, carry=carry).filter(F.col("review_id").isNotNull())
+    return score_sentiment(parsed, load=load).select(*SCORED_COLUMNS, *carry)
 
 
 def to_messages(df: DataFrame, key: str = "review_id") -> DataFrame:

@@ -3,8 +3,9 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from plaudit.streaming.jobs import file_messages, read_serving, start_scoring, start_serving
+from plaudit.streaming.jobs import compact_serving, file_messages, read_serving, start_scoring, start_serving
 from plaudit.streaming.messages import parse_messages, score_messages, to_messages, unusable
 
 NOW = {"availableNow": True}
@@ -72,14 +73,23 @@ def test_message_round_trip(spark, reviews):
 
 
 def test_serving_table_keeps_the_newest_row(spark, inbox, tmp_path):
-    def feed():
+    def feed(folder="serving"):
+        messages = file_messages(spark, inbox.path).withColumn("at", F.get_json_object("value", "$.at").cast("long"))
         start_serving(
-            score_messages(file_messages(spark, inbox.path)), str(tmp_path / "serving"), str(tmp_path / "ckpt"), NOW
+            score_messages(messages, carry=("at",)), str(tmp_path / folder), str(tmp_path / "ckpt"), NOW
         ).awaitTermination()
-        return {r.review_id: r.rating for r in read_serving(spark, str(tmp_path / "serving")).collect()}
+        return {r.review_id: r.rating for r in read_serving(spark, str(tmp_path / folder), ("at",)).collect()}
 
     inbox("1.json", GOOD, {"review_id": "b", "rating": 2, "review_text": "fine"})
     assert feed() == {"a": 5, "b": 2}
     inbox("2.json", {**GOOD, "rating": 1})
     assert feed() == {"a": 1, "b": 2}
     assert feed() == {"a": 1, "b": 2}
+    # Inside a batch the later row wins, whatever its values.
+    inbox("3.json", {**GOOD, "rating": 2, "at": 7}, {**GOOD, "rating": 5, "at": 9}, {**GOOD, "rating": 4, "at": 8})
+    assert feed() == {"a": 5, "b": 2}
+    compact_serving(spark, str(tmp_path / "serving"), str(tmp_path / "compact"), ("at",))
+    inbox("4.json", {"review_id": "b", "rating": 1, "review_text": "fine"})
+    assert feed("compact") == {"a": 5, "b": 1}
+    with pytest.raises(ValueError, match="order"):
+        read_serving(spark, str(tmp_path / "serving"), ())
