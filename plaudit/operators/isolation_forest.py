@@ -150,8 +150,9 @@ class IsolationForest:
         cores = df.sparkSession.sparkContext.defaultParallelism
         combinations = materialise(counted.repartition(cores), "feature-combinations")
         total = combinations.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-        if total == 0:
-            raise ValueError("cannot fit an isolation forest on no rows")
+        if total == 0:  # nothing can stand out
+            leaf = {"feature": [0], "cut": [0.0], "left": [0], "right": [0], "depth": [1.0]}
+            return IsolationForestModel(df.sparkSession, self.features, Forest.from_rows([leaf], 1, 2), threshold=1.0)
         sample_size = min(self.sample_size, total)
         levels = max(1, math.ceil(math.log2(max(sample_size, 2))))
         grown = self._grow(self._samples(combinations, total, sample_size), levels).orderBy("tree").collect()
@@ -182,14 +183,9 @@ class IsolationForest:
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
             .select(*self.features, "token", "copy")
         )
-        expected = min(float(total), pool_size)
-        share = min(1.0, (sample_size + 8 * math.sqrt(sample_size) + 64) / expected)
-        chance = F.xxhash64("token", "copy", "tree")
-        limit = int(-(2**63) + share * (2**64 - 1)) if share < 1.0 else 2**63 - 1
         per_tree = (
             pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
-            .withColumn("chance", chance)
-            .filter(F.col("chance") <= F.lit(limit))
+            .withColumn("chance", F.xxhash64("token", "copy", "tree"))
         )
         order = Window.partitionBy("tree").orderBy("chance", "token", "copy")
         return (

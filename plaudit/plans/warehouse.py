@@ -1,8 +1,9 @@
 """Star schema: four dimensions and one fact, built from Silver and loaded in increments.
 
-Layout of a warehouse: ``<root>/<load>/<table>``. A load writes complete dimensions but only the
-fact rows that are new, so a load costs what arrived, not what is stored. Its ``load_report`` is
-written last, after all constraints hold on the written tables; readers see reported loads only.
+Layout of a warehouse: ``<root>/<load>/<table>``, and ``<root>/_loads/<number>`` with the name of each
+published load. A load writes complete dimensions but only the fact rows that are new; to find those it
+reads the stored fact keys. Its ``load_report`` is written after all constraints hold on the written
+tables, and then it takes the number after its predecessor's; readers see numbered loads only.
 """
 
 from __future__ import annotations
@@ -198,20 +199,45 @@ def check_constraints(spark: SparkSession, star: Star) -> DataFrame:
 
 # --- stored warehouse -----------------------------------------------------------------------
 
+LOADS = "_loads"
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop path and file system of a location."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
 
 def _published(spark: SparkSession, root: str) -> list[str]:
-    """Paths of finished loads, in the order they were finished."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/load_report/_SUCCESS")
-    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
-    finished = sorted(
-        (status.getModificationTime(), str(status.getPath().getParent().getParent().toString()))
-        for status in found or [])
-    return [path for _, path in finished]
+    """Paths of finished loads, in the order of their numbers. File times play no part."""
+    folder, system = _files(spark, f"{root.rstrip('/')}/{LOADS}")
+    if not system.exists(folder):
+        return []
+    names = {}
+    for status in system.listStatus(folder):
+        if status.getPath().getName().isdigit():
+            stream = system.open(status.getPath())
+            names[int(status.getPath().getName())] = stream.readLine()
+            stream.close()
+    return [f"{root.rstrip('/')}/{names[number]}" for number in sorted(names)]
+
+
+def _publish(spark: SparkSession, root: str, load: str, number: int) -> None:
+    """Takes the number for this load. It can be taken once: of two loads on one predecessor, one fails."""
+    marker, system = _files(spark, f"{root.rstrip('/')}/{LOADS}/{number:012d}")
+    if system.exists(marker):
+        raise ValueError(f"load {load!r} was overtaken by another load; run it again")
+    stream = system.create(marker, False)
+    stream.writeBytes(load + "\n")
+    stream.close()
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
     """The warehouse as of the last finished load; empty if there is none."""
-    loads = _published(spark, root)
+    return _star_of(spark, _published(spark, root))
+
+
+def _star_of(spark: SparkSession, loads: list[str]) -> Star:
     if not loads:
         return empty_star(spark)
     dims = {name: spark.read.schema(schema).parquet(f"{loads[-1]}/{name}")
@@ -228,9 +254,10 @@ def load_warehouse(
     Dimensions are written first and read back: later joins then know their true sizes.
     """
     spark = silver.sparkSession
-    before = read_star(spark, root)
+    earlier = _published(spark, root)
+    before = _star_of(spark, earlier)
     target = f"{root.rstrip('/')}/{load}"
-    if load in {path.rsplit("/", 1)[-1] for path in _published(spark, root)}:
+    if load in {path.rsplit("/", 1)[-1] for path in earlier}:
         raise ValueError(f"load {load!r} is already published")
 
     def stored(name: str, df: DataFrame) -> DataFrame:
@@ -256,6 +283,7 @@ def load_warehouse(
     if failures:
         raise DataQualityError(f"load {load}", failures)
     report.coalesce(1).write.mode("overwrite").json(f"{target}/load_report")
+    _publish(spark, root, load, len(earlier) + 1)
     return read_star(spark, root)
 
 

@@ -123,3 +123,7 @@ def test_planted_rows_are_found(many_reviews, reviews):
     (summary,) = flag_summary(flagged).collect()
     assert summary.reviews == 2060 and 0 < summary.outlier <= 0.06 * 2060
     assert summary.suspicious_share == round(summary.suspicious / 2060, 4)
+
+
+def test_no_rows(reviews):
+    assert detect(reviews({}).limit(0)).count() == 0

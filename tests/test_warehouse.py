@@ -8,6 +8,7 @@ import pytest
 from plaudit.operators.clean import clean_reviews
 from plaudit.operators.quality import DataQualityError
 from plaudit.plans import analytics as A
+from plaudit.plans import warehouse
 from plaudit.plans.warehouse import (
     TABLES, Star, build_star, check_constraints, empty_star, load_warehouse, query, read_star, rule_flagged,
 )
@@ -80,6 +81,31 @@ def test_a_published_load_is_never_rewritten(silver, tmp_path):
         load(silver(*SECOND), tmp_path, "load-1")
 
 
+def test_file_times_do_not_change_the_order(spark, silver, tmp_path):
+    load(silver(*FIRST), tmp_path, "load-1")
+    load(silver(*SECOND), tmp_path, "load-2")
+    before = {name: sorted(df.collect(), key=str) for name, df in read_star(spark, str(tmp_path)).tables().items()}
+    for folder, _, names in os.walk(tmp_path / "load-1"):
+        for name in names:
+            os.utime(os.path.join(folder, name), (2**31, 2**31))
+    os.utime(tmp_path / "_loads" / f"{1:012d}", (2**31, 2**31))
+    after = {name: sorted(df.collect(), key=str) for name, df in read_star(spark, str(tmp_path)).tables().items()}
+    assert before == after
+
+
+def test_of_two_loads_on_one_predecessor_one_fails(spark, silver, tmp_path, monkeypatch):
+    load(silver(*FIRST), tmp_path, "load-1")
+    publish = warehouse._publish
+
+    def overtaken(session, root, name, number):
+        publish(session, root, "load-other", number)
+        publish(session, root, name, number)
+
+    monkeypatch.setattr(warehouse, "_publish", overtaken)
+    with pytest.raises(ValueError, match="overtaken"):
+        load(silver(*SECOND), tmp_path, "load-2")
+
+
 def test_broken_constraint_is_not_published(spark, silver, tmp_path):
     load(silver(*FIRST), tmp_path, "load-1")
     bad = silver({"review_id": "r9", "product_id": "p9", "product_name": None})
