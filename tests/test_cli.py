@@ -55,3 +55,10 @@ def test_index(spark, csv, tmp_path):
 def test_stream_options():
     args = parser().parse_args(["stream", "--servers", "b:1", "--checkpoint", "c"])
     assert (args.topic, args.scored, args.starting) == ("reviews.raw", "reviews.scored", "latest")
+
+
+def test_similar(spark, csv, tmp_path):
+    out = str(tmp_path / "similar")
+    assert main(["similar", "--source", csv, "--wanted", csv, "--out", out, "--k", "2", "--exact"]) == 0
+    found = spark.read.option("header", True).csv(out)
+    assert found.columns == ["query_id", "review_id", "score", "rank"] and found.count() == 2 * 309
