@@ -21,8 +21,8 @@ Other columns are not read.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +74,8 @@ class Chunk:
         self.ids = batch.column("doc_id")
         self.held = np.array(batch.column("held_out").to_pylist(), dtype=bool)
         self.counts = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
-        hashed = np.fromiter((memory[w] for row in words for w in row), dtype=np.uint64, count=int(self.counts.sum()) - len(words))
+        hashed = np.fromiter(
+            map(memory.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=int(self.counts.sum()) - len(words))
         self.tokens = np.insert(hashed, np.cumsum(self.counts - 1), END_WORD)
         self.texts = [b" ".join(row) for row in words]
         self.bucket_of = lambda names: (names % np.uint64(buckets)).astype(np.int64)
