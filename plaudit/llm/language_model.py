@@ -3,12 +3,18 @@
 A text is its tokens: lower-cased (A-Z) words and one end. The tree models the bytes of the words, joined
 by blanks, and the end symbol, so that both scores are logarithms of a probability of the same sequence.
 
-1. A task cuts its documents into chunks of about ``chunk_bytes`` and sends, packed per hash bucket, the
+1. A task cuts its documents into chunks of about ``chunk_bytes`` and stores, packed per hash bucket, the
    chunk's distinct words and byte sequences with their counts in training documents.
-2. Buckets add up. Words: every chunk gets the corpus counts of its words back. Byte sequences: those of
-   one nearest byte pair come together as distinct sequences, become decisions of the trees, and those
-   that hold their least share go to the driver, at most ``8 * nodes`` per depth, where the weights are set.
-3. Chunks meet the counts of their words and are scored with the tree.
+2. Word buckets add up, and every chunk gets the corpus counts of its words back.
+3. Buckets of byte sequences, by the nearest three bytes, add up and weight the trees of their contexts, all of
+   them, however rare. Only sums for contexts of two bytes leave a bucket; from these the driver weights the
+   shorter contexts, whose number is bounded by the alphabet, and ships them to every task.
+4. Buckets build their trees with that and answer every chunk's sequences with logarithms of probabilities, in
+   single precision (a sum of them is off by less than 1e-7 of itself).
+5. Chunks meet counts and answers and add them up.
+
+Steps 3 and 4 stream a bucket's chunks; a task holds the distinct sequences of one bucket and their tree. The
+most frequent three bytes are in one bucket, which grows with the distinct sequences after them.
 
 A chunk is named by its content. The documents are read twice and must give the same chunks, so they have
 to come from stored files; if they do not, the last step fails instead of scoring wrongly.
@@ -33,14 +39,17 @@ from pyspark.sql import functions as F
 
 from plaudit.llm import context_tree
 from plaudit.llm.common import blocks_of, lower_ascii, spaced_words, texts_of
-from plaudit.llm.context_tree import DEPTH, LEAST, Tree
+from plaudit.llm.context_tree import DEPTH, SPLIT, Top
 from plaudit.llm.substring_dedup import WordHashes
 from plaudit.storage import materialise
 
 END_WORD = np.uint64(0x5DEECE66D1CE4E5B)
-WORDS, STATS, GRAMS = 0, 1, 2
+WORDS, STATS, TREE, GRAMS, TOP = range(5)  # a bucket's tree comes before what asks for it
 SENT = "kind int, bucket int, chunk bigint, names binary, counts binary"
 GATHERED = "kind int, bucket int, chunk bigint, names binary, counts binary, total bigint, known bigint"
+TREES = "kind int, bucket int, names binary, counts binary, name bigint, zeros bigint, ones bigint, weighted double"
+REPLY = "kind int, bucket int, chunk bigint, counts binary"
+MERGED_AT = 1 << 20
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -56,6 +65,15 @@ def _unpacked(content: bytes, kind) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
 
 
+def _packed_floats(values: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(values.astype("<f4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpacked_floats(content: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(content), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<f4").ravel().astype(np.float64)
+
+
 def chunk_name(batch: pa.RecordBatch) -> int:
     """A number for the ids and texts of a block, in their order."""
     name = xxhash.xxh3_64(str(batch.column("doc_id").to_pylist()).encode())
@@ -91,11 +109,23 @@ class Chunk:
         trained = np.repeat(~self.held, self.counts)
         return names[order], np.bincount(place[trained], minlength=len(names)), place
 
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct keys of training texts and their counts."""
-        keys = np.sort(context_tree.keys_of(*context_tree.stream_of([t for t, h in zip(self.texts, self.held) if not h])))
-        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        return keys[heads], np.diff(np.append(heads, len(keys)))
+    def grams(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys by bucket, their buckets, their number in training texts, the key of every symbol,
+        and the number of symbols of every text."""
+        content, first, lengths = context_tree.stream_of(self.texts)
+        keys = context_tree.keys_of(content, first, lengths)
+        order = np.argsort(keys)
+        ordered = keys[order]
+        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        names = ordered[heads]
+        trained = np.add.reduceat(np.repeat(~self.held, lengths)[order].astype(np.int64), heads)
+        bucket = _near(names, buckets)
+        by_bucket = np.argsort(bucket, kind="stable")
+        back = np.empty(len(names), dtype=np.int64)
+        back[by_bucket] = np.arange(len(names))
+        place = np.empty(len(keys), dtype=np.int64)
+        place[order] = np.repeat(back, np.diff(np.append(heads, len(keys))))
+        return names[by_bucket], bucket[by_bucket], trained[by_bucket], place, lengths
 
 
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
@@ -106,29 +136,29 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
 
 
 def _near(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (keys >> (8 * (DEPTH - 1))) * 40503 % buckets
+    return ((keys >> (8 * (DEPTH + 1 - SPLIT))) * 2654435761 >> 13) % buckets
 
 
-def _send(buckets: int, chunk_bytes: int):
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+    fields = [field.split() for field in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
+def _send(buckets: int, gram_buckets: int, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordHashes()
         for batch in blocks_of(batches, "text", chunk_bytes):
             chunk = Chunk(batch, memory, buckets)
             names, trained, _ = chunk.words()
-            sent = [
+            yield _batch([
                 (WORDS, b, chunk.name, _packed(names[s]), _packed(trained[s].astype(np.int64)))
-                for b, s in _by_bucket(chunk.bucket_of(names))]
-            keys, counts = chunk.grams()
-            # Far bytes spread a frequent nearest pair; its keys stay in order.
-            spread = (_near(keys, buckets) * 16 + (keys >> 8) % 16) % buckets
-            order = np.argsort(spread, kind="stable")
-            sent += [
-                (GRAMS, buckets + b, chunk.name, _packed(keys[order[s]]), _packed(counts[order[s]].astype(np.int64)))
-                for b, s in _by_bucket(spread[order])]
-            columns = list(zip(*sent))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [
-                pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()])],
-                names=["kind", "bucket", "chunk", "names", "counts"])
+                for b, s in _by_bucket(chunk.bucket_of(names))], SENT)
+            keys, bucket, trained, _, _ = chunk.grams(gram_buckets)
+            yield _batch([
+                (GRAMS, b, chunk.name, _packed(keys[s]), _packed(trained[s])) for b, s in _by_bucket(bucket)], SENT)
 
     return run
 
@@ -138,83 +168,113 @@ def _merged(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return every, np.bincount(place, weights=np.concatenate(counts), minlength=len(every)).astype(np.int64), place
 
 
-def _add_up(buckets: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        kind = rows[0]["kind"]
-        names = [_unpacked(r["names"], np.uint64 if kind == WORDS else np.int64) for r in rows]
-        every, total, place = _merged(names, [_unpacked(r["counts"], np.int64) for r in rows])
-        out = [(STATS, kind, None, None, None, int(total.sum()), int(np.count_nonzero(total)))]
-        if kind == WORDS:
-            found = np.split(total[place], np.cumsum([len(n) for n in names])[:-1])
-            out += [(WORDS, r["bucket"], r["chunk"], None, _packed(f), 0, 0) for r, f in zip(rows, found)]
-        else:
-            near = _near(every, buckets)
-            order = np.argsort(near, kind="stable")
-            out += [
-                (GRAMS, b, None, _packed(every[order[s]]), _packed(total[order[s]]), 0, 0)
-                for b, s in _by_bucket(near[order])]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), [
-            pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()])],
-            names=["kind", "bucket", "chunk", "names", "counts", "total", "known"])
+def _add_up(table: pa.Table) -> pa.Table:
+    rows = table.to_pylist()
+    names = [_unpacked(r["names"], np.uint64) for r in rows]
+    _, total, place = _merged(names, [_unpacked(r["counts"], np.int64) for r in rows])
+    out = [(STATS, rows[0]["bucket"], None, None, None, int(total.sum()), int(np.count_nonzero(total)))]
+    found = np.split(total[place], np.cumsum([len(n) for n in names])[:-1])
+    out += [(WORDS, r["bucket"], r["chunk"], None, _packed(f), 0, 0) for r, f in zip(rows, found)]
+    return pa.Table.from_batches([_batch(out, GATHERED)])
+
+
+class Sum:
+    """Counts of keys, added up part by part."""
+
+    def __init__(self):
+        self.names, self.counts, self.waiting = [], [], 0
+
+    def add(self, names: np.ndarray, counts: np.ndarray) -> None:
+        known = counts > 0
+        self.names.append(names[known])
+        self.counts.append(counts[known])
+        self.waiting += len(self.names[-1])
+        if self.waiting > max(MERGED_AT, len(self.names[0])):
+            self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        names, counts, _ = _merged(self.names, self.counts)
+        self.names, self.counts, self.waiting = [names], [counts], 0
+        return names, counts
+
+
+def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by bucket to the bucket's counts, and what it adds to the decisions of short contexts."""
+    def settled(bucket: int, counted: Sum) -> Iterator[pa.RecordBatch]:
+        keys, counts = counted.merged()
+        yield _batch([(TREE, bucket, _packed(keys), _packed(counts), None, None, None, None)], TREES)
+        short = context_tree.contributions(keys, counts)
+        size = len(short[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(size, TOP, dtype=np.int32)), pa.array(np.full(size, bucket, dtype=np.int32)),
+             pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()), *map(pa.array, short)],
+            names=["kind", "bucket", "names", "counts", "name", "zeros", "ones", "weighted"])
+
+    now, counted = None, Sum()
+    for batch in batches:
+        buckets, names, counts = (batch.column(c) for c in ("bucket", "names", "counts"))
+        for row in range(batch.num_rows):
+            bucket = buckets[row].as_py()
+            if bucket != now:
+                if now is not None:
+                    yield from settled(now, counted)
+                now, counted = bucket, Sum()
+            counted.add(_unpacked(names[row].as_py(), np.int64), _unpacked(counts[row].as_py(), np.int64))
+    if now is not None:
+        yield from settled(now, counted)
+
+
+def _answer(top: Top):
+    """Rows by bucket, its tree first, to the logarithms of the probabilities of what each chunk asks for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = tree = values = None
+        for batch in batches:
+            kinds, buckets, chunks, names, counts = (
+                batch.column(c) for c in ("kind", "bucket", "chunk", "names", "counts"))
+            out = []
+            for row in range(batch.num_rows):
+                asked = _unpacked(names[row].as_py(), np.int64)
+                if kinds[row].as_py() == TREE:
+                    keys = tree = values = None
+                    keys, tree = asked, top.extended(asked, _unpacked(counts[row].as_py(), np.int64))
+                    values = tree.log_probability(keys)
+                    continue
+                found = np.empty(len(asked))
+                place = np.searchsorted(keys, asked)
+                place[place == len(keys)] = 0
+                seen = keys[place] == asked if len(keys) else np.zeros(len(asked), dtype=bool)
+                found[seen] = values[place[seen]]
+                found[~seen] = tree.log_probability(asked[~seen])
+                out.append((GRAMS, buckets[row].as_py(), chunks[row].as_py(), _packed_floats(found)))
+            yield _batch(out, REPLY)
 
     return run
 
 
-def _decide(least: int):
-    """Decisions of all depths from the distinct keys of some nearest byte pairs; short contexts in part."""
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        keys, counts, _ = _merged(
-            [_unpacked(r["names"], np.int64) for r in rows], [_unpacked(r["counts"], np.int64) for r in rows])
-        parts = []
-        for depth in range(DEPTH + 1):
-            names, zeros, ones = context_tree.decisions(keys, counts, depth)
-            kept = zeros + ones >= (least if depth >= 2 else 1)
-            parts.append((np.full(int(kept.sum()), depth), names[kept], zeros[kept], ones[kept]))
-        return pa.table([pa.array(np.concatenate(c)) for c in zip(*parts)], names=["depth", "name", "zeros", "ones"]).cast(
-            pa.schema([("depth", pa.int32()), ("name", pa.int64()), ("zeros", pa.int64()), ("ones", pa.int64())]))
-
-    return run
+def _top(weighed: DataFrame) -> Top:
+    found = weighed.filter(F.col("kind") == TOP).groupBy("name").agg(
+        *[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]).toArrow()
+    name, zeros, ones, weighted = (found[c].to_numpy() for c in ("name", "zeros", "ones", "weighted"))
+    order = np.argsort(name)
+    return context_tree.top_of(name[order], zeros[order], ones[order], weighted[order])
 
 
-def _tree(gathered: DataFrame, symbols: int, nodes: int) -> Tree:
-    least = max(LEAST, symbols // nodes)
-    kept = (
-        gathered.filter(F.col("kind") == GRAMS).select("bucket", "names", "counts").groupBy("bucket")
-        .applyInArrow(_decide(least), "depth int, name bigint, zeros bigint, ones bigint")
-        .groupBy("depth", "name").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
-        .filter((F.col("depth") == 0) | (F.col("zeros") + F.col("ones") >= least)))
-    found = kept.toArrow()
-    depth, name, zeros, ones = (found[c].to_numpy() for c in ("depth", "name", "zeros", "ones"))
-    levels = []
-    for d in range(DEPTH + 1):
-        mine = np.flatnonzero(depth == d)
-        mine = mine[np.argsort(name[mine])]
-        levels.append((name[mine], zeros[mine], ones[mine]))
-    return context_tree.build(levels)
-
-
-def _score(buckets: int, tree: Tree, total: int, known: int):
+def _score(buckets: int, gram_buckets: int, total: int, known: int):
     def run(key, documents: pa.Table, replies: pa.Table) -> pa.Table:
         chunk = Chunk(documents.combine_chunks().to_batches()[0], WordHashes(), buckets)
         names, _, place = chunk.words()
-        rows = sorted(replies.to_pylist(), key=lambda r: r["bucket"])
-        counts = np.concatenate([_unpacked(r["counts"], np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
-        if chunk.name != key[0].as_py() or len(counts) != len(names):
+        keys, _, _, of_symbol, lengths = chunk.grams(gram_buckets)
+        rows = sorted(replies.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
+        counts, values = (
+            np.concatenate([np.zeros(0, kind), *[unpacked(r["counts"]) for r in rows if r["kind"] == which]])
+            for which, kind, unpacked in (
+                (WORDS, np.int64, lambda c: _unpacked(c, np.int64)), (GRAMS, np.float64, _unpacked_floats)))
+        if chunk.name != key[0].as_py() or len(counts) != len(names) or len(values) != len(keys):
             raise RuntimeError("the documents changed between two reads; score a stored table")
         seen = counts[place].astype(np.float64)
         starts = np.cumsum(chunk.counts) - chunk.counts
         base = np.add.reduceat(np.log10((seen + 1) / (total + 1.0 * (known + 1))), starts)
-        content, first, lengths = context_tree.stream_of(chunk.texts)
-        keys = context_tree.keys_of(content, first, lengths)
-        order = np.argsort(keys)
-        ordered = keys[order]
-        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        values = tree.log_probability(ordered[heads])
-        per_symbol = np.empty(len(keys))
-        per_symbol[order] = np.repeat(values, np.diff(np.append(heads, len(keys))))
-        score = np.add.reduceat(per_symbol, np.cumsum(lengths) - lengths) / math.log(10)
+        score = np.add.reduceat(values[of_symbol], np.cumsum(lengths) - lengths) / math.log(10)
         return pa.table({
             "doc_id": documents["doc_id"], "held_out": pa.array(chunk.held), "n_tokens": pa.array(chunk.counts),
             "n_known": pa.array(np.add.reduceat((seen > 0).astype(np.int64), starts)),
@@ -234,22 +294,30 @@ def held_out(key, folds: int = 7, fold: int = 2):
 
 
 def score_texts(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", nodes: int = 1 << 19,
-    chunk_bytes: int = 6 << 20, bucket_bytes: int = 12 << 20,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    chunk_bytes: int = 6 << 20, bucket_bytes: int = 12 << 20, gram_bucket_bytes: int = 4 << 20,
 ) -> DataFrame:
     """Per document the columns of ``RESULT``; scores are log10 probabilities of the token sequence."""
     slim = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), held_out(doc_id).alias("held_out"), F.col(text).alias("text"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     buckets = max(64, size // bucket_bytes)
+    gram_buckets = max(64, size // gram_bucket_bytes)
+    sent = materialise(slim.mapInArrow(_send(buckets, gram_buckets, chunk_bytes), SENT), "chunk-counts")
     gathered = materialise(
-        slim.mapInArrow(_send(buckets, chunk_bytes), SENT).groupBy("bucket").applyInArrow(_add_up(buckets), GATHERED),
-        "corpus-counts")
-    sums = {r["bucket"]: r for r in gathered.filter(F.col("kind") == STATS).groupBy("bucket").agg(
-        F.sum("total").alias("total"), F.sum("known").alias("known")).collect()}
-    total, known = (sums[WORDS]["total"], sums[WORDS]["known"]) if WORDS in sums else (0, 0)
-    tree = _tree(gathered, sums[GRAMS]["total"] if GRAMS in sums else 0, nodes)
-    replies = gathered.filter(F.col("kind") == WORDS).select("chunk", "bucket", "counts")
+        sent.filter(F.col("kind") == WORDS).groupBy("bucket").applyInArrow(_add_up, GATHERED), "corpus-counts")
+    sums = gathered.filter(F.col("kind") == STATS).agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("known"), F.lit(0)).alias("known")).first()
+    asked = sent.filter(F.col("kind") == GRAMS)
+    weighed = materialise(
+        asked.select("bucket", "names", "counts").repartition("bucket").sortWithinPartitions("bucket")
+        .mapInArrow(_weigh, TREES), "corpus-trees")
+    trees = weighed.filter(F.col("kind") == TREE).select(
+        "kind", "bucket", F.lit(None).cast("long").alias("chunk"), "names", "counts")
+    answers = (
+        trees.unionByName(asked.withColumn("counts", F.lit(None).cast("binary")))
+        .repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answer(_top(weighed)), REPLY))
+    replies = gathered.filter(F.col("kind") == WORDS).select("kind", "bucket", "chunk", "counts").unionByName(answers)
 
     def name_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks_of(batches, "text", chunk_bytes):
@@ -259,7 +327,7 @@ def score_texts(
                 names=["chunk", "doc_id", "held_out", "text", "place"])
 
     named = slim.mapInArrow(name_chunks, "chunk bigint, doc_id bigint, held_out boolean, text string, place bigint")
-    scored = _score(buckets, tree, total, known)
+    scored = _score(buckets, gram_buckets, sums["total"], sums["known"])
 
     def in_order(key, documents: pa.Table, replies: pa.Table) -> pa.Table:
         return scored(key, documents.sort_by("place"), replies)

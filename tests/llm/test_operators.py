@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -17,8 +18,9 @@ from pyspark.sql.types import (
 
 import corpus_pipeline
 from plaudit.llm import (
-    decontaminate, jaccard_join, language_model, license_scan, mixing, secrets, substring_dedup, token_files,
-    toxicity, vector_dedup)
+    context_tree, decontaminate, jaccard_join, language_model, license_scan, mixing, secrets, substring_dedup,
+    token_files, toxicity, vector_dedup)
+from plaudit.llm.common import lower_ascii, spaced_words
 from plaudit.llm.components import components
 from plaudit.storage import work_path
 
@@ -211,6 +213,20 @@ def test_language_model_does_not_depend_on_chunks(docs):
     assert one == other
 
 
+def test_language_model_uses_every_context(docs):
+    """Scores are those of one tree of all contexts, also of those that occur once."""
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in ROWS}
+    texts = [(i, b" ".join(spaced_words(lower_ascii((t or "").encode())))) for i, t in ROWS]
+    keys, counts = np.unique(
+        context_tree.keys_of(*context_tree.stream_of([t for i, t in texts if not held[i]])), return_counts=True)
+    tree = context_tree.build([context_tree.decisions(keys, counts, d) for d in range(context_tree.DEPTH + 1)])
+    wanted = sorted(
+        tree.log_probability(context_tree.keys_of(*context_tree.stream_of([t]))).sum() / math.log(10) for _, t in texts)
+    for chunk_bytes in (700, 6 << 20):
+        found = language_model.score_texts(stored(docs), chunk_bytes=chunk_bytes)
+        assert sorted(r.score for r in found.collect()) == pytest.approx(wanted, rel=1e-6)
+
+
 def test_language_model_beats_the_base_on_held_out_texts(spark, testdata):
     directory = testdata.replace("sf0.001", "sf0.01")
     found = language_model.score_texts(spark.read.parquet(f"{directory}/documents.parquet"))
