@@ -17,7 +17,9 @@ Steps 3 and 4 stream a bucket's chunks; a task holds the distinct sequences of o
 most frequent three bytes are in one bucket, which grows with the distinct sequences after them.
 
 A chunk is named by its content. The documents are read twice and must give the same chunks, so they have
-to come from stored files; if they do not, the last step fails instead of scoring wrongly.
+to come from stored files; if they do not, the last step fails instead of scoring wrongly. Equal chunks of
+several tasks share a name, their counts add up, and one of them is scored for all; they meet in one group,
+which holds their texts.
 
 Null and empty texts consist of the end alone. A null id is in training. Repeated rows count and are
 scored each. Without training documents the tree gives every bit 1/2. Empty tables give empty results.
@@ -32,8 +34,10 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -264,7 +268,8 @@ def _score(buckets: int, gram_buckets: int, total: int, known: int):
         chunk = Chunk(documents.combine_chunks().to_batches()[0], WordHashes(), buckets)
         names, _, place = chunk.words()
         keys, _, _, of_symbol, lengths = chunk.grams(gram_buckets)
-        rows = sorted(replies.to_pylist(), key=lambda r: (r["kind"], r["bucket"]))
+        found = {(r["kind"], r["bucket"]): r for r in replies.to_pylist()}  # the same for equal chunks
+        rows = [found[place] for place in sorted(found)]
         counts, values = (
             np.concatenate([np.zeros(0, kind), *[unpacked(r["counts"]) for r in rows if r["kind"] == which]])
             for which, kind, unpacked in (
@@ -320,16 +325,23 @@ def score_texts(
     replies = gathered.filter(F.col("kind") == WORDS).select("kind", "bucket", "chunk", "counts").unionByName(answers)
 
     def name_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks_of(batches, "text", chunk_bytes):
-            name = chunk_name(batch)
+        task = TaskContext.get().partitionId() << 32
+        for number, batch in enumerate(blocks_of(batches, "text", chunk_bytes)):
+            size = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(batch.num_rows, name)), *batch.columns, pa.array(np.arange(batch.num_rows))],
-                names=["chunk", "doc_id", "held_out", "text", "place"])
+                [pa.array(np.full(size, chunk_name(batch))), pa.array(np.full(size, task + number)), *batch.columns,
+                 pa.array(np.arange(size))],
+                names=["chunk", "copy", "doc_id", "held_out", "text", "place"])
 
-    named = slim.mapInArrow(name_chunks, "chunk bigint, doc_id bigint, held_out boolean, text string, place bigint")
+    named = slim.mapInArrow(
+        name_chunks, "chunk bigint, copy bigint, doc_id bigint, held_out boolean, text string, place bigint")
     scored = _score(buckets, gram_buckets, sums["total"], sums["known"])
 
     def in_order(key, documents: pa.Table, replies: pa.Table) -> pa.Table:
-        return scored(key, documents.sort_by("place"), replies)
+        if not documents.num_rows:
+            raise RuntimeError("the documents changed between two reads; score a stored table")
+        copies = pc.unique(documents["copy"])
+        one = documents.filter(pc.equal(documents["copy"], copies[0])).sort_by("place")
+        return pa.concat_tables([scored(key, one, replies)] * len(copies))
 
     return named.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(in_order, RESULT)

@@ -227,6 +227,16 @@ def test_language_model_uses_every_context(docs):
         assert sorted(r.score for r in found.collect()) == pytest.approx(wanted, rel=1e-6)
 
 
+def test_language_model_scores_equal_chunks_of_several_tasks(docs):
+    table = stored(docs)
+    twice = language_model.score_texts(table.union(table), chunk_bytes=700).collect()
+    assert Counter(r.doc_id for r in twice) == Counter(i for i, _ in ROWS * 2)
+    once = language_model.score_texts(table, chunk_bytes=700).collect()
+    trained, known = once[0].train_tokens, {(r.doc_id, r.n_tokens, r.n_known, r.held_out) for r in once}
+    assert {r.train_tokens for r in twice} == {2 * trained}
+    assert {(r.doc_id, r.n_tokens, r.n_known, r.held_out) for r in twice} == known
+
+
 def test_language_model_beats_the_base_on_held_out_texts(spark, testdata):
     directory = testdata.replace("sf0.001", "sf0.01")
     found = language_model.score_texts(spark.read.parquet(f"{directory}/documents.parquet"))
