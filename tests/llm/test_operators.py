@@ -430,6 +430,31 @@ def test_vectors(spark, block):
     assert vector_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shared", [0.0, 0.5])
+def test_passes_grow_with_the_rows_and_find_pairs(shared):
+    """Pairs at cosine 0.95 among vectors with a common mean are neighbours in some pass; 1 % may be missed."""
+    generator = np.random.default_rng(4)
+    pairs, rows, dimension = 400, 40_000, 64
+    table = generator.standard_normal((rows, dimension)) / math.sqrt(dimension)
+    table[:, 0] += math.sqrt(shared / (1 - shared))
+    table /= np.linalg.norm(table, axis=1, keepdims=True)
+    aside = generator.standard_normal((pairs, dimension))
+    aside -= (aside * table[:pairs]).sum(axis=1, keepdims=True) * table[:pairs]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    table[pairs:2 * pairs] = 0.95 * table[:pairs] + math.sqrt(1 - 0.95 ** 2) * aside
+    mean = table.mean(axis=0)
+    passes = vector_dedup.passes_for(rows, float(mean @ mean), 0.95)
+    found = np.zeros(pairs, dtype=bool)
+    for code in vector_dedup.codes(table - mean, range(passes), 7).T:
+        place = np.empty(rows, dtype=np.int64)
+        place[np.argsort(code)] = np.arange(rows)
+        found |= np.abs(place[:pairs] - place[pairs:2 * pairs]) <= vector_dedup.WINDOW
+    assert found.mean() >= 0.98
+    sizes = [vector_dedup.passes_for(n, shared, 0.95) for n in (10 ** 5, 10 ** 6, 4 * 10 ** 6, 10 ** 8)]
+    assert sizes == sorted(sizes) and sizes[2] > 16
+    print(passes, found.mean(), sizes)
+
+
 def test_components(spark):
     generator = random.Random(2)
     edges = [(generator.randrange(80), generator.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(200, 240)]
