@@ -41,3 +41,43 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kept,
   sha256(coalesce(words, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (doc_id)
 """
+
+
+def _centroid_clusters(dimensions: int = 64, clusters: int = 16, rounds: int = 3) -> str:
+    """The rounds written out one after another."""
+    distance = f"list_sum([(v[i] - c[i]) * (v[i] - c[i]) for i in range(1, {dimensions} + 1)])"
+
+    def nearest(centres: str) -> str:
+        return f"""(
+  SELECT any_value(vec_id) AS vec_id, any_value(v) AS v, list_sort(list({{'d': {distance}, 'k': k}}))[1] AS hit
+  FROM kept, {centres} GROUP BY row)"""
+
+    steps = [f"""
+WITH kept AS (
+  SELECT vec_id, row_number() OVER () AS row,
+    [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings WHERE len(embedding) = {dimensions}
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS k, v AS c
+  FROM kept ORDER BY sha256('1:' || vec_id) LIMIT {clusters})"""]
+    for step in range(1, rounds + 1):
+        before = f"c{step - 1}"
+        steps.append(f"""
+a{step} AS (SELECT hit.k AS k, v FROM {nearest(before)}),
+s{step} AS (
+  SELECT k, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+  FROM a{step}, (SELECT unnest(range(1, {dimensions} + 1)) AS i) GROUP BY k, i),
+m{step} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{step} GROUP BY k),
+c{step} AS (SELECT b.k, coalesce(m{step}.c, b.c) AS c FROM {before} b LEFT JOIN m{step} ON m{step}.k = b.k)""")
+    last = f"c{rounds}"
+    return ",".join(steps) + f""",
+found AS (SELECT vec_id, hit.k AS k, hit.d AS d FROM {nearest(last)})
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found JOIN {last} USING (k)
+"""
+
+
+CENTROID_CLUSTERS = _centroid_clusters()

@@ -5,10 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import decontaminate, jaccard_join, language_model, license_scan, mixing, oracle, secrets, substring_dedup, token_files, toxicity, vector_dedup
+from plaudit.llm import centroid_clusters, decontaminate, jaccard_join, language_model, license_scan, mixing, oracle, secrets, substring_dedup, token_files, toxicity, vector_dedup
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
-from plaudit.storage import work_path
+from plaudit.storage import materialise, work_path
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -97,6 +97,14 @@ def op10_token_output(spark, directory):
     return token_files.read_tokens(spark, path)
 
 
+def op13_centroid_clusters(spark, directory):
+    ship_package(spark)
+    vectors = table(spark, directory, "embeddings").select("vec_id", "embedding")
+    found = materialise(centroid_clusters.cluster_vectors(vectors).drop("embedding"), "clusters")
+    return centroid_clusters.with_inertia(found).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -108,9 +116,11 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_token_output": op10_token_output,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 ORACLE: dict[str, str] = {
     "op1_benchmark_decontamination": oracle.DECONTAMINATION,
     "op2_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op13_centroid_clusters": oracle.CENTROID_CLUSTERS,
 }
