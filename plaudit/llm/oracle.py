@@ -81,3 +81,32 @@ FROM found JOIN {last} USING (k)
 
 
 CENTROID_CLUSTERS = _centroid_clusters()
+
+COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS p, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS part
+  FROM documents),
+listed AS (SELECT lang, regexp_extract_all(part, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM listed GROUP BY lang),
+run AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM listed, (SELECT unnest([1, 2, 3]) AS k))),
+counted AS (SELECT lang, k, phrase, count(*) AS f FROM run GROUP BY ALL),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND f >= 10),
+cut AS (
+  SELECT lang, k, phrase, a, c, array_to_string(w[1:c], ' ') AS head, array_to_string(w[c + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)),
+scored AS (
+  SELECT cut.*, h.f AS l, t.f AS r,
+    CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+  FROM cut JOIN counted h ON h.lang = cut.lang AND h.phrase = head JOIN counted t ON t.lang = cut.lang AND t.phrase = tail),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_pair AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, w, a, unnest([1, 2]) AS i FROM cand WHERE k = 3) GROUP BY ALL),
+ranked AS (
+  SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest LEFT JOIN inner_pair USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import centroid_clusters, decontaminate, jaccard_join, language_model, license_scan, mixing, oracle, secrets, substring_dedup, token_files, toxicity, vector_dedup
+from plaudit.llm import centroid_clusters, collocations, decontaminate, jaccard_join, language_model, license_scan, mixing, oracle, secrets, substring_dedup, token_files, toxicity, vector_dedup
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 from plaudit.storage import materialise, work_path
@@ -97,6 +97,11 @@ def op10_token_output(spark, directory):
     return token_files.read_tokens(spark, path)
 
 
+def op12_phrase_collocations(spark, directory):
+    ship_package(spark)
+    return collocations.mine_collocations(table(spark, directory, "documents").select("text", "lang"))
+
+
 def op13_centroid_clusters(spark, directory):
     ship_package(spark)
     vectors = table(spark, directory, "embeddings").select("vec_id", "embedding")
@@ -116,11 +121,13 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_token_output": op10_token_output,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 ORACLE: dict[str, str] = {
     "op1_benchmark_decontamination": oracle.DECONTAMINATION,
     "op2_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op12_phrase_collocations": oracle.COLLOCATIONS,
     "op13_centroid_clusters": oracle.CENTROID_CLUSTERS,
 }
