@@ -39,10 +39,10 @@ LEAST = 10
 LONGEST = 3
 KEEP = 2000
 BLOCK_BYTES = 4 << 20  # text worked on at once
-HELD = 6_000_000  # bucket numbers a task holds before it packs them
+HELD = 4_000_000  # bucket numbers a task holds before it packs them
 BUCKET_BITS = 48
 BUCKET_BYTES = 32 << 20
-TRIE_BYTES = 16 << 20
+TRIE_BYTES = 8 << 20
 RANGE = 1 << 16  # phrase numbers summed in one group
 
 _SYMBOL = np.random.default_rng(2).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -249,16 +249,15 @@ _TRIES = StructType([
 
 def _built(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """The trie of a block of phrases as one row, and the phrases with their numbers."""
-    languages, phrases = texts_of(table.column("lang")), texts_of(table.column("phrase"))
-    keys = sorted(zip(languages, phrases))
-    block = key[0].as_py()
-    many = len(keys) + 1
+    languages, phrases = (table.column(name).combine_chunks() for name in ("lang", "phrase"))
+    many = len(phrases)
+    trie = pickle.dumps(build(languages, phrases), protocol=5)
     return pa.table({
-        "block": pa.array([block] * many, pa.int32()),
-        "number": pa.array([*range(len(keys)), None], pa.int32()),
-        "lang": pa.array([name.decode() for name, _ in keys] + [None], pa.string()),
-        "phrase": pa.array([phrase.decode() for _, phrase in keys] + [None], pa.string()),
-        "trie": pa.array([None] * len(keys) + [pickle.dumps(build(keys), protocol=5)], pa.binary())})
+        "block": pa.array([key[0].as_py()] * (many + 1), pa.int32()),
+        "number": pa.concat_arrays([pa.array(np.arange(many), pa.int32()), pa.nulls(1, pa.int32())]),
+        "lang": pa.concat_arrays([languages, pa.nulls(1, languages.type)]),
+        "phrase": pa.concat_arrays([phrases, pa.nulls(1, phrases.type)]),
+        "trie": pa.concat_arrays([pa.nulls(many, pa.binary()), pa.array([trie], pa.binary())])})
 
 
 _COUNTS = StructType([

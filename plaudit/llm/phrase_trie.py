@@ -9,6 +9,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BLANK, BREAK = 32, 10
 #: Lower-cases A-Z, turns a tab into a blank and every mark that ends a piece into a line feed.
@@ -81,13 +83,14 @@ class Trie:
             place, state = place[on] + 1, follow[on]
 
 
-def _nodes(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Parent and byte of every node but the root, in order of depth, and the node in which each sorted key ends."""
-    joined = np.frombuffer(b"".join(keys), dtype=np.uint8)
-    length = np.fromiter(map(len, keys), dtype=np.int64, count=len(keys))
+def _nodes(joined: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parent and byte of every node but the root, in order of depth, and the node in which each key ends.
+
+    Keys are sorted; ``joined`` has their bytes one after another.
+    """
     offset = np.cumsum(length) - length
-    node = np.zeros(len(keys), dtype=np.int64)
-    same = np.ones(len(keys), dtype=bool)  # as the key before, down to this depth
+    node = np.zeros(len(length), dtype=np.int32)
+    same = np.ones(len(length), dtype=bool)  # as the key before, down to this depth
     same[:1] = False
     parents, symbols = [], []
     made, depth = 1, 0
@@ -106,7 +109,7 @@ def _nodes(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         depth += 1
         active = active[length[active] > depth]
     if not parents:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint8), node
+        return np.empty(0, dtype=np.int32), np.empty(0, dtype=np.uint8), node
     return np.concatenate(parents), np.concatenate(symbols), node
 
 
@@ -153,20 +156,29 @@ def _place(sizes: np.ndarray, symbols: np.ndarray, spare: float = 1.3) -> tuple[
     return base, slots + 256
 
 
-def build(keys: list[tuple[bytes, bytes]]) -> Trie:
-    """The trie of sorted, distinct (language, phrase) keys; a phrase's number is its place in the list."""
-    languages = sorted({language for language, _ in keys})
-    paths = [language + b"\n" + phrase for language, phrase in keys] + [language + b"\n" for language in languages]
-    order = sorted(range(len(paths)), key=paths.__getitem__)
-    parent, symbol, last = _nodes([paths[i] for i in order])
-    ending = np.empty(len(paths), dtype=np.int64)
+def build(languages: pa.Array, phrases: pa.Array) -> Trie:
+    """The trie of distinct (language, phrase) keys; a phrase's number is its place in the arrays."""
+    binary = languages.cast(pa.binary())
+    names = sorted(binary.unique().to_pylist())
+    paths = pc.binary_join_element_wise(binary, phrases.cast(pa.binary()), pa.scalar(b"\n", pa.binary()))
+    paths = pa.concat_arrays([paths, pa.array([name + b"\n" for name in names], pa.binary())])
+    order = pc.sort_indices(paths)
+    sorted_paths = paths.take(order)
+    order = order.to_numpy()
+    length = pc.binary_length(sorted_paths).to_numpy().astype(np.int64)
+    content = sorted_paths.buffers()[2]
+    joined = np.frombuffer(content, dtype=np.uint8)[:int(length.sum())] if content else np.empty(0, dtype=np.uint8)
+    parent, symbol, last = _nodes(joined, length)
+    del paths, sorted_paths, joined
+    ending = np.empty(len(order), dtype=np.int32)
     ending[order] = last
     by_parent = np.lexsort((symbol, parent))
     row_of, sizes = np.unique(parent, return_counts=True)
     row_base, slots = _place(sizes, symbol[by_parent].astype(np.int64))
-    node_base = np.zeros(len(parent) + 1, dtype=np.int64)
+    del by_parent
+    node_base = np.zeros(len(parent) + 1, dtype=np.int32)
     node_base[row_of] = row_base
-    slot = np.zeros(len(parent) + 1, dtype=np.int64)  # the root lies in slot 0
+    slot = np.zeros(len(parent) + 1, dtype=np.int32)  # the root lies in slot 0
     slot[1:] = node_base[parent] + symbol
     base = np.zeros(slots, dtype=np.int32)
     check = np.full(slots, _EMPTY, dtype=np.int32)
@@ -174,6 +186,6 @@ def build(keys: list[tuple[bytes, bytes]]) -> Trie:
     base[slot] = node_base
     check[0] = _ROOT
     check[slot[1:]] = slot[parent]
-    accept[slot[ending[:len(keys)]]] = np.arange(len(keys))
-    roots = {language: int(slot[ending[len(keys) + i]]) for i, language in enumerate(languages)}
-    return Trie(base, check, accept, roots, len(keys))
+    many = len(phrases)
+    accept[slot[ending[:many]]] = np.arange(many)
+    return Trie(base, check, accept, {name: int(slot[ending[many + i]]) for i, name in enumerate(names)}, many)

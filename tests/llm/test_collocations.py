@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -109,7 +110,7 @@ def test_trie_counts_every_phrase():
     letters = [bytes(draw.randrange(1, 256) for _ in range(draw.randrange(1, 4))) for _ in range(300)]
     clean = [word for word in letters if not set(word) & set(b" \t.,;:!?\n\x0b\x0c\r") and word == word.lower()]
     keys = sorted({(lang, b" ".join(draw.choices(clean, k=draw.randrange(1, 4)))) for lang in (b"a", b"b", b"") for _ in range(900)})
-    trie = phrase_trie.build(keys)
+    trie = phrase_trie.build(pa.array([lang for lang, _ in keys], pa.binary()), pa.array([phrase for _, phrase in keys], pa.binary()))
     assert np.unique(trie.check[trie.check >= 0]).size < (trie.check >= 0).sum()
     text = b" ".join(draw.choices(clean, k=5000))
     words = phrase_trie.words_of([text])
