@@ -38,8 +38,8 @@ from plaudit.storage import materialise, work_path
 LEAST = 10
 LONGEST = 3
 KEEP = 2000
-BLOCK_BYTES = 4 << 20  # text worked on at once
-HELD = 4_000_000  # bucket numbers a task holds before it packs them
+BLOCK_BYTES = 1 << 20  # text worked on at once
+HELD = 3_000_000  # bucket numbers a task holds before it packs them
 BUCKET_BITS = 48
 BUCKET_BYTES = 32 << 20
 TRIE_BYTES = 8 << 20
@@ -208,7 +208,7 @@ class BucketSet:
         self.bitmap[values >> self.shift] = True
 
     def first_places(self, given: np.ndarray) -> np.ndarray:
-        """One place of every different 64-bit number in ``given`` whose bucket is in the set."""
+        """One place of every different 64-bit number in ``given`` whose bucket is in the set, by number."""
         near = np.flatnonzero(self.bitmap[given >> self.shift])
         number, first = np.unique(given[near], return_index=True)
         drop = np.uint64(64 - BUCKET_BITS)
@@ -222,16 +222,21 @@ _PHRASES = StructType([StructField("lang", StringType()), StructField("phrase",
 
 
 def _candidates(texts: DataFrame, buckets: np.ndarray, longest: int) -> DataFrame:
-    """Phrases of these buckets, once per block of text."""
+    """Phrases of these buckets, once per task."""
     sent = texts.sparkSession.sparkContext.broadcast(buckets)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, hashes = BucketSet(sent.value), PhraseHashes()
+        seen = np.empty(0, dtype=np.uint64)
         for words, languages, of_word in _word_blocks(batches):
             raw = words.raw.tobytes()
             # Places of a run's first byte are ascending, so they lead back to its word.
             for value, start, end in hashes.of(words, _salts(languages)[of_word], longest):
                 place = wanted.first_places(value)
+                if len(seen):
+                    at = np.minimum(np.searchsorted(seen, value[place]), len(seen) - 1)
+                    place = place[seen[at] != value[place]]
+                seen = np.union1d(seen, value[place])
                 owner = of_word[np.searchsorted(words.start, start[place])]
                 names = pa.array([name.decode() for name in languages], pa.string())
                 yield pa.RecordBatch.from_arrays([
