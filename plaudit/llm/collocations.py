@@ -42,7 +42,7 @@ BLOCK_BYTES = 1 << 20  # text worked on at once
 HELD = 3_000_000  # bucket numbers a task holds before it packs them
 BUCKET_BITS = 48
 BUCKET_BYTES = 32 << 20
-TRIE_BYTES = 8 << 20
+TRIE_BYTES = 4 << 20
 RANGE = 1 << 16  # phrase numbers summed in one group
 
 _SYMBOL = np.random.default_rng(2).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -222,21 +222,16 @@ _PHRASES = StructType([StructField("lang", StringType()), StructField("phrase",
 
 
 def _candidates(texts: DataFrame, buckets: np.ndarray, longest: int) -> DataFrame:
-    """Phrases of these buckets, once per task."""
+    """Phrases of these buckets, once per block of text."""
     sent = texts.sparkSession.sparkContext.broadcast(buckets)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, hashes = BucketSet(sent.value), PhraseHashes()
-        seen = np.empty(0, dtype=np.uint64)
         for words, languages, of_word in _word_blocks(batches):
             raw = words.raw.tobytes()
             # Places of a run's first byte are ascending, so they lead back to its word.
             for value, start, end in hashes.of(words, _salts(languages)[of_word], longest):
                 place = wanted.first_places(value)
-                if len(seen):
-                    at = np.minimum(np.searchsorted(seen, value[place]), len(seen) - 1)
-                    place = place[seen[at] != value[place]]
-                seen = np.union1d(seen, value[place])
                 owner = of_word[np.searchsorted(words.start, start[place])]
                 names = pa.array([name.decode() for name in languages], pa.string())
                 yield pa.RecordBatch.from_arrays([
@@ -272,10 +267,10 @@ _NUMBERED = StructType([
 
 
 def _shard_counts(texts: DataFrame, block: int, sent: Broadcast) -> DataFrame:
-    """Occurrences of the phrases of the trie that was sent, per task and range of phrase numbers."""
+    """Occurrences of the phrases of the pickled trie that was sent, per task and range of phrase numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie: Trie = sent.value
+        trie: Trie = pickle.loads(sent.value)
         counts = np.zeros(trie.phrases, dtype=np.int64)
         for words, languages, of_word in _word_blocks(batches):
             roots = np.array([trie.roots.get(name, -1) for name in languages], dtype=np.int64)
@@ -343,11 +338,11 @@ def phrase_counts(
     for row in tries.filter(F.col("trie").isNotNull()).select("block").orderBy("block").collect():
         number = row["block"]
         blob = tries.filter((F.col("block") == number) & F.col("trie").isNotNull()).first()["trie"]
-        sent = spark.sparkContext.broadcast(pickle.loads(blob))
+        sent = spark.sparkContext.broadcast(bytes(blob))
         summed = _shard_counts(texts, number, sent).groupBy("block", "part").applyInArrow(_summed, _NUMBERED)
         paths.append(f"{path}/{number}")
         summed.write.parquet(paths[-1])
-        sent.unpersist()
+        sent.destroy()
     counted = spark.read.schema(_NUMBERED).parquet(*paths)
     named = tries.filter(F.col("number").isNotNull()).join(counted, ["block", "number"])
     return materialise(named.select("lang", "phrase", "f"), "phrase-counts"), totals
