@@ -202,7 +202,7 @@ class BucketSet:
 
     def __init__(self, values: np.ndarray):
         self.values = values
-        bits = max(10, int(np.ceil(np.log2(max(1, len(values))))) + 5)
+        bits = max(10, int(np.ceil(np.log2(max(1, len(values))))) + 3)
         self.shift = np.uint64(64 - bits)
         self.bitmap = np.zeros(1 << bits, dtype=bool)
         self.bitmap[values >> self.shift] = True
@@ -296,6 +296,20 @@ def _summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         "f": pa.array(total[some], pa.int64())})
 
 
+def _blocked(keys: DataFrame, blocks: int, trie_bytes: int) -> DataFrame:
+    """Deals phrases to blocks by their first word, so that a word start runs deep in one trie only.
+
+    The phrases of a first word with more than an eighth of a trie's bytes are dealt one by one.
+    """
+    first = keys.withColumn("first", F.substring_index("phrase", " ", 1))
+    heavy = first.groupBy("lang", "first").agg(F.sum(F.octet_length("phrase")).alias("size")).filter(
+        F.col("size") > trie_bytes // 8).select("lang", "first", F.lit(True).alias("heavy"))
+    by_word, by_phrase = (F.xxhash64("lang", name) for name in ("first", "phrase"))
+    place = F.when(F.col("heavy"), by_phrase).otherwise(by_word)
+    return first.join(heavy, ["lang", "first"], "left").select(
+        "lang", "phrase", F.pmod(place, F.lit(blocks)).cast("int").alias("block"))
+
+
 def phrase_counts(
     docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, longest: int = LONGEST,
     bucket_bytes: int = BUCKET_BYTES, trie_bytes: int = TRIE_BYTES,
@@ -331,7 +345,7 @@ def phrase_counts(
     keys = phrases.unionByName(words)
     total = keys.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 1)).first()[0]
     blocks = -(-total // trie_bytes)
-    numbered = keys.withColumn("block", F.pmod(F.xxhash64("lang", "phrase"), F.lit(blocks)).cast("int"))
+    numbered = _blocked(keys, blocks, trie_bytes)
     tries = materialise(numbered.groupBy("block").applyInArrow(_built, _TRIES), "phrase-tries")
     path = work_path(spark, "phrase-shard-counts")
     paths = []
