@@ -352,6 +352,18 @@ def oracle_statements() -> dict[str, str]:
     return {
         "bronze_reviews": statement("SELECT * FROM raw", "raw"),
         "csv_landing": statement("SELECT * FROM raw", "raw"),
+        "csv_two_landings": statement(
+            "SELECT *, CASE WHEN right(product_id, 1) IN ('0', '1', '2')"
+            " THEN 'store ' || right(customer_id, 1) END AS store FROM raw", "raw"),
+        "silver_incremental": statement("SELECT * FROM silver", "silver"),
+        "gold_incremental": statement(
+            f"SELECT 'daily_category_sentiment' AS mart, CAST(review_date AS VARCHAR) AS key_1, category AS key_2,"
+            f" CAST(NULL AS VARCHAR) AS key_3, {gold}, round(avg(review_length), 1) AS avg_review_length,"
+            " CAST(NULL AS DATE) AS first_review, CAST(NULL AS DATE) AS last_review FROM silver GROUP BY review_date, category"
+            f" UNION ALL SELECT 'product_summary', product_id, product_name, category, {gold}, NULL, min(review_date),"
+            " max(review_date) FROM silver GROUP BY product_id, product_name, category"
+            f" UNION ALL SELECT 'topic_distribution', category, topic, NULL, {gold}, NULL, NULL, NULL"
+            " FROM silver GROUP BY category, topic", "silver"),
         "layer_counts": statement(
             "SELECT 'bronze' AS layer, count(*) AS reviews FROM raw UNION ALL SELECT 'silver', count(*) FROM silver",
             "raw", "silver"),

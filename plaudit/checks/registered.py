@@ -15,10 +15,10 @@ from plaudit.operators.documents import search_documents, upsert_documents
 from plaudit.operators.isolation_forest import IsolationForest
 from plaudit.operators.quality import REVIEWS_SUITE, Suite, summarise, validate
 from plaudit.operators.scoring import score_sentiment
-from plaudit.plans import analytics, marts, warehouse
+from plaudit.plans import analytics, increments, marts, warehouse
 from plaudit.session import ship_package
 from plaudit.sources.adapter import as_of, table
-from plaudit.sources.lake import Lake, land_csv, read_bronze, write_csv
+from plaudit.sources.lake import Lake, land, land_csv, read_bronze, write_csv
 from plaudit.storage import balanced, work_path
 from plaudit.streaming.jobs import file_messages, read_serving, start_scoring, start_serving
 from plaudit.streaming.messages import parse_messages, score_messages, to_messages
@@ -49,6 +49,57 @@ def csv_landing(spark, directory):
     return read_bronze(spark, lake).drop("ingest_date")
 
 
+def csv_two_landings(spark, directory):
+    """Two exports with other column orders, one with a further column, land in one go; nothing is lost."""
+    source = work_path(spark, "exports")
+    rows = stage.raw(spark, directory)
+    late = F.col("product_id").substr(-1, 1).isin("0", "1", "2")
+    write_csv(rows.filter(~late), f"{source}/first")
+    more = rows.filter(late).withColumn("store", F.concat(F.lit("store "), F.substring("customer_id", -1, 1)))
+    write_csv(more.select(*reversed(more.columns)), f"{source}/second")
+    lake = Lake(work_path(spark, "landing"))
+    land_csv(spark, lake, source)
+    return read_bronze(spark, lake, rescued=True).drop("ingest_date").withColumn(
+        "rescued", F.get_json_object("rescued", "$.store")).withColumnRenamed("rescued", "store")
+
+
+@stage.once
+def _incremental_lake(spark, directory):
+    """Silver and Gold after three loads; repeated ids come in different loads, so first rows get replaced."""
+    lake = Lake(work_path(spark, "increments"))
+    rows = stage.raw(spark, directory)
+    load = F.pmod(F.xxhash64("product_id", "customer_id", "review_text", "review_date"), F.lit(3))
+    for number in range(3):
+        land(rows.filter(load == number), lake)
+        increments.refresh_silver(spark, lake, as_of())
+        increments.refresh_gold(spark, lake)
+    return lake
+
+
+def silver_incremental(spark, directory):
+    """Silver after three incremental loads."""
+    return increments.read_silver_version(spark, _incremental_lake(spark, directory))
+
+
+def gold_incremental(spark, directory):
+    """The three marts, brought forward by two increments, as one table."""
+    lake = _incremental_lake(spark, directory)
+
+    def rows(name, *keys):
+        mart = increments.read_gold(spark, lake, name)
+        named = [F.col(key).cast("string") if key else F.lit(None).cast("string") for key in keys]
+        first, last = (F.col(c) if c in mart.columns else F.lit(None).cast("date") for c in ("first_review", "last_review"))
+        length = F.col("avg_review_length") if "avg_review_length" in mart.columns else F.lit(None).cast("double")
+        return mart.select(
+            F.lit(name).alias("mart"), *[column.alias(f"key_{i}") for i, column in enumerate(named, 1)],
+            "review_count", "avg_rating", length.alias("avg_review_length"), first.alias("first_review"), last.alias("last_review"))
+
+    return (
+        rows("daily_category_sentiment", "review_date", "category", None)
+        .unionByName(rows("product_summary", "product_id", "product_name", "category"))
+        .unionByName(rows("topic_distribution", "category", "topic", None)))
+
+
 def layer_counts(spark, directory):
     """Raw and Silver row counts."""
     count = F.count(F.lit(1)).alias("reviews")
@@ -425,7 +476,7 @@ def _with_package(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     query.__name__: _with_package(query)
     for query in (
-        bronze_reviews, csv_landing, layer_counts, silver_reviews,
+        bronze_reviews, csv_landing, csv_two_landings, silver_incremental, gold_incremental, layer_counts, silver_reviews,
         gold_daily_category, gold_product_summary, gold_topic_distribution,
         sentiment_scored, text_features, rating_mismatch, duplicate_spam, document_text_spread, rule_flag_summary,
         dq_report, dq_report_dirty, dq_summary, model_tests, star_constraints,

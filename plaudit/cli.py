@@ -16,11 +16,11 @@ from plaudit.operators.quality import REVIEWS_SUITE, load_suite, summarise, vali
 from plaudit.operators.similar import similar_reviews
 from plaudit.operators.topics import fit_topics
 from plaudit.plans.batch import run_batch
-from plaudit.plans.lake_jobs import bronze_to_silver, silver_to_gold
+from plaudit.plans.increments import export_gold, read_silver_version, refresh_gold, refresh_silver
 from plaudit.plans.warehouse import load_warehouse
 from plaudit.session import build_session
 from plaudit.sources.connectors import kafka_sink, kafka_source, publish, read_stream
-from plaudit.sources.lake import Lake, land_csv, read_csv, read_labelled, read_silver, write_csv, write_report
+from plaudit.sources.lake import Lake, land_csv, read_csv, read_labelled, write_csv, write_report
 from plaudit.storage import materialise
 from plaudit.streaming.jobs import start_scoring
 from plaudit.streaming.messages import to_messages
@@ -32,19 +32,21 @@ def run_land(spark: SparkSession, args) -> int:
 
 
 def run_silver(spark: SparkSession, args) -> int:
-    counts = bronze_to_silver(spark, Lake(args.lake))
+    counts = refresh_silver(spark, Lake(args.lake)).counts
     print(f"silver: {counts['silver']} rows from {counts['raw']}")
     return 0
 
 
 def run_gold(spark: SparkSession, args) -> int:
-    print("\n".join(silver_to_gold(spark, Lake(args.lake))))
+    lake = Lake(args.lake)
+    refresh_gold(spark, lake)
+    print("\n".join(export_gold(spark, lake)))
     return 0
 
 
 def run_check(spark: SparkSession, args) -> int:
     """Exit code 1 when a check fails."""
-    df = read_csv(spark, args.source) if args.source else read_silver(spark, Lake(args.lake))
+    df = read_csv(spark, args.source) if args.source else read_silver_version(spark, Lake(args.lake))
     suite = load_suite(args.suite) if args.suite else REVIEWS_SUITE
     report = materialise(validate(df, suite), "report")
     if args.report:
@@ -74,7 +76,7 @@ def run_topics(spark: SparkSession, args) -> int:
 
 def run_warehouse(spark: SparkSession, args) -> int:
     name = args.load or datetime.now(timezone.utc).strftime("load-%Y%m%dT%H%M%S%f")
-    star = load_warehouse(read_silver(spark, Lake(args.lake)), args.warehouse, name)
+    star = load_warehouse(read_silver_version(spark, Lake(args.lake)), args.warehouse, name)
     print(f"{name}: {star.fact_reviews.count()} facts")
     return 0
 

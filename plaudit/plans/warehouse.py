@@ -22,6 +22,7 @@ from plaudit.functions.sentiment import sentiment_label
 from plaudit.operators.anomaly import any_flag, detect, with_rule_flags
 from plaudit.operators.keyed import first_by, insert_ignore, new_rows, number_new, upsert
 from plaudit.operators.quality import Check, DataQualityError, Suite, validate_tables
+from plaudit.sources import versions
 from plaudit.storage import together
 
 TABLES = {
@@ -202,34 +203,18 @@ def check_constraints(spark: SparkSession, star: Star) -> DataFrame:
 LOADS = "_loads"
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop path and file system of a location."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _published(spark: SparkSession, root: str) -> list[str]:
-    """Paths of finished loads, in the order of their numbers. File times play no part."""
-    folder, system = _files(spark, f"{root.rstrip('/')}/{LOADS}")
-    if not system.exists(folder):
-        return []
-    names = {}
-    for status in system.listStatus(folder):
-        if status.getPath().getName().isdigit():
-            stream = system.open(status.getPath())
-            names[int(status.getPath().getName())] = stream.readLine()
-            stream.close()
-    return [f"{root.rstrip('/')}/{names[number]}" for number in sorted(names)]
+    """Paths of finished loads, in the order of their numbers."""
+    texts = versions.published(spark, f"{root.rstrip('/')}/{LOADS}")
+    return [f"{root.rstrip('/')}/{text.strip()}" for text in texts.values()]
 
 
 def _publish(spark: SparkSession, root: str, load: str, number: int) -> None:
     """Takes the number for this load. It can be taken once: of two loads on one predecessor, one fails."""
-    marker, system = _files(spark, f"{root.rstrip('/')}/{LOADS}/{number:012d}")
-    if system.exists(marker):
-        raise ValueError(f"load {load!r} was overtaken by another load; run it again")
-    stream = system.create(marker, False)
-    stream.writeBytes(load + "\n")
-    stream.close()
+    try:
+        versions.publish(spark, f"{root.rstrip('/')}/{LOADS}", number, load + "\n")
+    except FileExistsError:
+        raise ValueError(f"load {load!r} was overtaken by another load; run it again") from None
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
@@ -254,6 +239,7 @@ def load_warehouse(
     Dimensions are written first and read back: later joins then know their true sizes.
     """
     spark = silver.sparkSession
+    number = versions.next_number(spark, f"{root.rstrip('/')}/{LOADS}")
     earlier = _published(spark, root)
     before = _star_of(spark, earlier)
     target = f"{root.rstrip('/')}/{load}"
@@ -283,7 +269,7 @@ def load_warehouse(
     if failures:
         raise DataQualityError(f"load {load}", failures)
     report.coalesce(1).write.mode("overwrite").json(f"{target}/load_report")
-    _publish(spark, root, load, len(earlier) + 1)
+    _publish(spark, root, load, number)
     return read_star(spark, root)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plaudit.schemas import RAW_REVIEW, SILVER_REVIEW
+from plaudit.sources.landing import RESCUED, data_files, landing_files, read_by_header
+from plaudit.sources.versions import files
 
 CSV_OPTIONS = {
     "header": "true", "quote": '"', "escape": '"',
@@ -67,9 +70,29 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def read_bronze(spark: SparkSession, lake: Lake, dataset: str = "reviews") -> DataFrame:
-    """All landed reviews with their ``ingest_date`` partition."""
-    return read_csv(spark, lake.path("bronze", dataset))
+BRONZE_REVIEW = T.StructType([*RAW_REVIEW, T.StructField(RESCUED, T.StringType())])
+
+
+def read_bronze(spark: SparkSession, lake: Lake, dataset: str = "reviews", rescued: bool = False) -> DataFrame:
+    """All landed reviews with their ``ingest_date`` partition; ``rescued`` cells on request."""
+    rows = read_csv(spark, lake.path("bronze", dataset), BRONZE_REVIEW)
+    return rows if rescued else rows.drop(RESCUED)
+
+
+def read_landed(spark: SparkSession, lake: Lake, paths: Sequence[str], dataset: str = "reviews") -> DataFrame:
+    """Reviews of some Bronze files, as :func:`read_bronze` gives them without ``ingest_date``."""
+    rows = spark.read.schema(BRONZE_REVIEW).options(**CSV_OPTIONS, multiLine="true", enforceSchema="false")
+    return rows.csv(list(paths)).select(*RAW_REVIEW.names)
+
+
+def bronze_files(spark: SparkSession, lake: Lake, dataset: str = "reviews") -> list[str]:
+    """Paths of the landed files, relative to the dataset."""
+    root = lake.path("bronze", dataset)
+    place, system = files(spark, root)
+    if not system.exists(place):
+        return []
+    full = str(system.makeQualified(place))
+    return [path[len(full) + 1:] for path, _ in data_files(spark, root)]
 
 
 def read_silver(spark: SparkSession, lake: Lake, dataset: str = "reviews") -> DataFrame:
@@ -78,22 +101,27 @@ def read_silver(spark: SparkSession, lake: Lake, dataset: str = "reviews") -> Da
 
 
 def land_csv(
-    spark: SparkSession, lake: Lake, source: str, dataset: str = "reviews", multi_line: bool = True
+    spark: SparkSession, lake: Lake, source: str, dataset: str = "reviews", multi_line: bool | None = None
 ) -> str:
-    """Append a raw review CSV to Bronze unchanged, under today's ``ingest_date``.
+    """Append raw review files to Bronze, under today's ``ingest_date``; see :mod:`plaudit.sources.landing`.
 
-    Cells are carried as text and columns found by name, so nothing is cast or dropped; an empty
-    cell comes back as null.
+    Cells are carried as text and columns found by the header of each file; an empty cell comes back as
+    null. Files that lack a required column stop the landing before anything is written.
     """
-    cells = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(source)
-    return land(cells, lake, dataset)
+    found = landing_files(spark, source)
+    refused = [f"{file.path} lacks {', '.join(file.missing)}" for file in found if file.header and not file.lands()]
+    if refused:
+        raise ValueError("not landed: " + "; ".join(refused))
+    return land(read_by_header(spark, found, CSV_OPTIONS, multi_line), lake, dataset)
 
 
 def land(df: DataFrame, lake: Lake, dataset: str = "reviews", max_records: int = 1_000_000) -> str:
     """Append rows to Bronze as CSV; files are cut at ``max_records`` so that reading them scales."""
     path = lake.path("bronze", dataset)
+    rescued = F.col(RESCUED) if RESCUED in df.columns else F.lit(None).cast("string").alias(RESCUED)
     (
-        df.select(*RAW_REVIEW.names).withColumn("ingest_date", F.date_format(F.current_timestamp(), "yyyy-MM-dd"))
+        df.select(*RAW_REVIEW.names, rescued)
+        .withColumn("ingest_date", F.date_format(F.current_timestamp(), "yyyy-MM-dd"))
         .write.mode("append")
         .partitionBy("ingest_date")
         .option("maxRecordsPerFile", max_records)
