@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from plaudit.llm import centroid_clusters, collocations, decontaminate, jaccard_join, language_model, license_scan, mixing, oracle, secrets, substring_dedup, token_files, toxicity, vector_dedup
+from plaudit.llm import centroid_clusters, collocations, decontaminate, jaccard_join, language_model, license_scan, mixing, oracle, personal_data, secrets, substring_dedup, token_files, toxicity, vector_dedup
 from plaudit.session import ship_package
 from plaudit.sources.adapter import table
 from plaudit.storage import materialise, work_path
@@ -97,6 +97,16 @@ def op10_token_output(spark, directory):
     return token_files.read_tokens(spark, path)
 
 
+def op11_personal_data(spark, directory):
+    ship_package(spark)
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    found = personal_data.find_personal_data(docs).drop("text")
+    counts = [_count_kind("base_spans", kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(_joined_spans("base_spans"), 256).alias("base_sha256"),
+        _joined_spans("spans").alias("spans"))
+
+
 def op12_phrase_collocations(spark, directory):
     ship_package(spark)
     return collocations.mine_collocations(table(spark, directory, "documents").select("text", "lang"))
@@ -121,6 +131,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_token_output": op10_token_output,
+    "op11_personal_data": op11_personal_data,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
