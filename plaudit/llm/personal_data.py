@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, AtomicType, LongType, StringType, StructField, StructType
 
-from plaudit.llm.common import add_columns, fresh, texts_of
+from plaudit.llm.common import add_columns, texts_of
 from plaudit.llm.skip_chain import Graph, Model, fit
 
 KINDS = ("email", "ip", "card", "phone")
@@ -228,7 +228,7 @@ def tokens_of(text: bytes) -> Tokens:
             elif four:
                 token.key, token.exact = ("parts", tuple(p.lstrip(b"0") for p in parts)), token.text
             elif len(digits) >= 7:
-                token.key, token.exact = ("digits", digits[-7:]), digits
+                token.key, token.exact = ("digits", digits[-7:]), digits[-10:]
             before = text[max(0, token.start - 24):token.start].split()[-1:]
             names = [
                 "any", b"@" in token.text and "at", _AT_FORM.search(token.text) and "at form",
@@ -310,7 +310,7 @@ def _variants(kind: int, value: bytes) -> list[bytes]:
     last, area, rest = digits[-4:], digits[-7:-4], digits[-10:-7]
     return [
         rest + b"-" + area + b"-" + last, b"(" + rest + b") " + area + b"-" + last, rest + b"." + area + b"." + last,
-        value.lstrip(b"+"), b"00" + digits[:-10] + b" " + rest + b" " + area + b" " + last]
+        rest + area + last, value.lstrip(b"+"), b"00" + digits[:-10] + b" " + rest + b" " + area + b" " + last]
 
 
 def _spoiled(kind: int, value: bytes, turn: int) -> bytes | None:
@@ -458,15 +458,20 @@ def scan(texts: list[bytes], model: Model, certain: float = CERTAIN) -> list[tup
 
 
 def learned_model(docs: DataFrame, text: str = "text", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
-    """The model of a sample of texts with a digit or an ``@``, drawn by the hash of their rows."""
+    """The model of a sample of texts with a digit or an ``@``, drawn by the hash of their rows.
+
+    The lowest hashes are found first and their texts fetched afterwards, once per hash, so that tasks send
+    the driver no more than hashes.
+    """
     atomic = [f.name for f in docs.schema if isinstance(f.dataType, AtomicType)]
     value = F.col(text)
-    drawn = fresh(docs, "drawn")
-    rows = (
-        docs.filter(value.rlike("[0-9@]") & (F.length(value) <= sample_chars))
-        .select(value.alias("text"), F.xxhash64(*[F.col(f"`{name}`") for name in atomic]).alias(drawn))
-        .orderBy(drawn, "text").limit(sample).collect())
-    return learn(sorted({row["text"].encode() for row in rows}))
+    rows = docs.filter(value.rlike("[0-9@]") & (F.length(value) <= sample_chars)).select(
+        value.alias("text"), F.xxhash64(*[F.col(f"`{name}`") for name in atomic]).alias("drawn"))
+    lowest = [row["drawn"] for row in rows.select("drawn").orderBy("drawn").limit(sample).collect()]
+    if not lowest:
+        return learn([])
+    chosen = rows.filter(F.col("drawn") <= lowest[-1]).groupBy("drawn").agg(F.min("text").alias("text")).collect()
+    return learn(sorted({row["text"].encode() for row in chosen}))
 
 
 def find_personal_data(

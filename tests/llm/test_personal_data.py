@@ -109,9 +109,9 @@ def test_a_repetition_raises_the_certainty(made):
     alone, = pd.scan([f"call {bare} today".encode()], model)
     together, = pd.scan([f"call {phone} today\n\nor else {bare} today".encode()], model)
     assert not alone[1] and len(together[1]) == 2
-    documents = [pd.tokens_of(f"call {bare} now".encode()), pd.tokens_of(f"call {phone} now\n\n or call {bare} now".encode())]
-    single, linked = (model.marginals(pd.graph_of([d]))[-1, 4] for d in documents)
-    assert linked > single
+    graph = pd.graph_of([pd.tokens_of(f"call {phone} now\n\n or call {bare} now".encode())])
+    apart = Model(model.nodes, model.chain, 0 * model.skip)
+    assert (graph.hub >= 0).all() and model.marginals(graph)[-1, 4] > apart.marginals(graph)[-1, 4]
 
 
 def test_messages_are_exact_on_trees_and_near_on_loops():
