@@ -37,7 +37,9 @@ def keys_of(content: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     # Eight bytes from every position on, as one little-endian number: the last byte is the highest.
     padded = np.concatenate([content, np.zeros(8, dtype=np.uint8)])
     ahead = np.ndarray(len(content) - DEPTH, dtype="<i8", buffer=padded, strides=(1,))
-    key = ((ahead & ((1 << 8 * DEPTH) - 1)) << 8) | content[DEPTH:]
+    key = ahead & ((1 << 8 * DEPTH) - 1)
+    key <<= 8
+    key |= content[DEPTH:]
     wanted = np.ones(len(key), dtype=bool)
     between = starts + lengths - DEPTH  # the end symbols after a text, but for its own
     for step in range(DEPTH - 1):
