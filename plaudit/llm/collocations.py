@@ -41,8 +41,8 @@ KEEP = 2000
 BLOCK_BYTES = 1 << 20  # text worked on at once
 HELD = 3_000_000  # bucket numbers a task holds before it packs them
 BUCKET_BITS = 48
-BUCKET_BYTES = 32 << 20
-TRIE_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20
+TRIE_BYTES = 2 << 20
 RANGE = 1 << 16  # phrase numbers summed in one group
 
 _SYMBOL = np.random.default_rng(2).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -351,12 +351,13 @@ def phrase_counts(
     paths = []
     for row in tries.filter(F.col("trie").isNotNull()).select("block").orderBy("block").collect():
         number = row["block"]
-        blob = tries.filter((F.col("block") == number) & F.col("trie").isNotNull()).first()["trie"]
-        sent = spark.sparkContext.broadcast(bytes(blob))
+        stored = tries.filter((F.col("block") == number) & F.col("trie").isNotNull()).select("trie")
+        sent = spark.sparkContext.broadcast(stored.first()["trie"])
         summed = _shard_counts(texts, number, sent).groupBy("block", "part").applyInArrow(_summed, _NUMBERED)
         paths.append(f"{path}/{number}")
         summed.write.parquet(paths[-1])
         sent.destroy()
+        del sent
     counted = spark.read.schema(_NUMBERED).parquet(*paths)
     named = tries.filter(F.col("number").isNotNull()).join(counted, ["block", "number"])
     return materialise(named.select("lang", "phrase", "f"), "phrase-counts"), totals
