@@ -1,7 +1,7 @@
 """Phrase collocations per language, counted with broadcast double-array tries.
 
 Texts are lower-cased (A-Z) and cut into pieces at ``. , ; : ! ?`` and line ends, pieces into words at
-blanks and tabs. A phrase is two to ``longest`` words in a row inside a piece.
+blanks and tabs; this plain form is stored once. A phrase is two to ``longest`` words in a row inside a piece.
 
 1. Candidates. Every phrase falls into one of 2^48 hash buckets; tasks count buckets, and a shuffle by
    ranges of buckets adds up what is sent as packed, sorted differences. A bucket's count is at least the
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from plaudit.llm.common import blocks_of, texts_of
-from plaudit.llm.phrase_trie import Trie, Words, build, words_of
+from plaudit.llm.phrase_trie import Trie, Words, build, plain_words, words_in
 from plaudit.storage import materialise, work_path
 
 LEAST = 10
@@ -65,7 +65,7 @@ class PhraseHashes:
 
             self.powers, self.inverse = powers(_FACTOR), powers(pow(_FACTOR, -1, 1 << 64))
 
-    def of(self, words: Words, salt: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def of(self, words: Words, salt: np.uint64, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Hash, first byte and end of all runs of two words, then of three, and so on."""
         self._reach(len(words.raw) + 1)
         sums = np.zeros(len(words.raw) + 1, dtype=np.uint64)
@@ -77,7 +77,7 @@ class PhraseHashes:
                 run = run[:-1] & whole[length - 2:-1]
             first = np.flatnonzero(run)
             start, end = words.start[first], words.end[first + length - 1]
-            value = (sums[end] - sums[start]) * self.inverse[start] ^ salt[first]
+            value = (sums[end] - sums[start]) * self.inverse[start] ^ salt
             value ^= value >> np.uint64(29)
             value *= np.uint64(0xBF58476D1CE4E5B9)
             value ^= value >> np.uint64(32)
@@ -98,25 +98,34 @@ def _slices(text: bytes, limit: int) -> Iterator[bytes]:
     yield text[begin:]
 
 
-def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[bytes], np.ndarray]]:
-    """Words of blocks of text, the languages of the block, and each word's place among them."""
+_PLAIN = StructType([StructField("lang", StringType()), StructField("words", BinaryType())])
+
+
+def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as plain words, one row per language and block of text."""
     for batch in blocks_of(batches, "text", BLOCK_BYTES):
-        texts = [t or b"" for t in texts_of(batch.column(0))]
-        names = [name or b"" for name in texts_of(batch.column(1))]
-        if max(map(len, texts), default=0) > 2 * BLOCK_BYTES:
-            parts = [([part], [name]) for text, name in zip(texts, names) for part in _slices(text, BLOCK_BYTES)]
-        else:
-            parts = [(texts, names)]
-        for block, languages in parts:
-            words = words_of(block)
-            known = sorted(set(languages))
-            place = {name: i for i, name in enumerate(known)}
-            of_text = np.fromiter((place[name] for name in languages), dtype=np.int64, count=len(languages))
-            yield words, known, of_text[words.text]
+        of_language: dict[bytes, list[bytes]] = {}
+        for text, name in zip(texts_of(batch.column(0)), texts_of(batch.column(1))):
+            of_language.setdefault(name, []).append(text)
+        for name, texts in of_language.items():
+            whole = max(map(len, texts)) <= 2 * BLOCK_BYTES
+            for block in [texts] if whole else [[part] for text in texts for part in _slices(text, BLOCK_BYTES)]:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([name.decode()], pa.string()), pa.array([plain_words(block).tobytes()], pa.binary())],
+                    names=_PLAIN.names)
+
+
+def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, bytes]]:
+    """Words of blocks of text and their language."""
+    for batch in batches:
+        for name, blob in zip(texts_of(batch.column(0)), batch.column(1)):
+            content = blob.as_buffer()
+            if content.size:
+                yield words_in(np.frombuffer(content, dtype=np.uint8)), name
 
 
-def _salts(languages: list[bytes]) -> np.ndarray:
-    return np.array([int.from_bytes(hashlib.sha256(name).digest()[:8], "little") for name in languages], dtype=np.uint64)
+def _salt(language: bytes) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.sha256(language).digest()[:8], "little"))
 
 
 def _packed(values: np.ndarray, counts: np.ndarray) -> bytes:
@@ -164,10 +173,9 @@ def _bucket_counts(texts: DataFrame, least: int, longest: int, part_bits: int) -
         held: list[np.ndarray] = []
         totals: dict[bytes, int] = {}
         size = 0
-        for words, languages, of_word in _word_blocks(batches):
-            for name, number in zip(languages, np.bincount(of_word, minlength=len(languages)).tolist()):
-                totals[name] = totals.get(name, 0) + number
-            for value, _, _ in hashes.of(words, _salts(languages)[of_word], longest):
+        for words, language in _word_blocks(batches):
+            totals[language] = totals.get(language, 0) + len(words.start)
+            for value, _, _ in hashes.of(words, _salt(language), longest):
                 held.append(value >> drop << drop)
                 size += len(value)
             if size >= HELD:
@@ -227,15 +235,12 @@ def _candidates(texts: DataFrame, buckets: np.ndarray, longest: int) -> DataFram
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, hashes = BucketSet(sent.value), PhraseHashes()
-        for words, languages, of_word in _word_blocks(batches):
+        for words, language in _word_blocks(batches):
             raw = words.raw.tobytes()
-            # Places of a run's first byte are ascending, so they lead back to its word.
-            for value, start, end in hashes.of(words, _salts(languages)[of_word], longest):
+            for value, start, end in hashes.of(words, _salt(language), longest):
                 place = wanted.first_places(value)
-                owner = of_word[np.searchsorted(words.start, start[place])]
-                names = pa.array([name.decode() for name in languages], pa.string())
                 yield pa.RecordBatch.from_arrays([
-                    names.take(pa.array(owner)) if len(place) else pa.array([], pa.string()),
+                    pa.array([language.decode()] * len(place), pa.string()),
                     pa.array([raw[a:b] for a, b in zip(start[place].tolist(), end[place].tolist())], pa.binary())],
                     names=_PHRASES.names)
 
@@ -272,9 +277,8 @@ def _shard_counts(texts: DataFrame, block: int, sent: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie: Trie = pickle.loads(sent.value)
         counts = np.zeros(trie.phrases, dtype=np.int64)
-        for words, languages, of_word in _word_blocks(batches):
-            roots = np.array([trie.roots.get(name, -1) for name in languages], dtype=np.int64)
-            trie.count(words, roots[of_word], counts)
+        for words, language in _word_blocks(batches):
+            trie.count(words, language, counts)
         parts = [(i, counts[i:i + RANGE]) for i in range(0, len(counts), RANGE)]
         parts = [(i // RANGE, part.tobytes()) for i, part in parts if part.any()]
         if parts:
@@ -319,7 +323,9 @@ def phrase_counts(
     texts = docs.select(
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Every further step reads the words from here and cuts no text again.
+    texts = materialise(texts.mapInArrow(_plain, _PLAIN), "plain-words")
+    size = texts.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     part_bits = min(16, max(4, (size // (2 << 20)).bit_length()))
     buckets = materialise(_bucket_counts(texts, least, longest, part_bits), "phrase-buckets")
     totals = buckets.filter(F.col("part") == _TOTALS).select("lang", "n")

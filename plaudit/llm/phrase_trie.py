@@ -28,10 +28,19 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     last: np.ndarray  # whether the word ends its piece
-    text: np.ndarray  # number of the word's text
 
 
-def words_of(texts: list[bytes]) -> Words:
+def words_in(raw: np.ndarray) -> Words:
+    """Words of what :func:`plain_words` gives."""
+    end = np.flatnonzero((raw == BLANK) | (raw == BREAK))
+    start = np.empty_like(end)
+    start[:1] = 0
+    start[1:] = end[:-1] + 1
+    return Words(raw, start, end, raw[end] == BREAK)
+
+
+def plain_words(texts: list[bytes]) -> np.ndarray:
+    """The words of texts, lower-cased, each with a blank after it, or a line feed where its piece ends."""
     joined = b"\n".join(texts) + b"\n"
     given = np.frombuffer(joined.translate(_MAP), dtype=np.uint8)
     inside = (given != BLANK) & (given != BREAK)
@@ -49,8 +58,7 @@ def words_of(texts: list[bytes]) -> Words:
     content[end] = False
     raw[content] = given[inside]
     raw[end] = np.where(last, BREAK, BLANK)
-    ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
-    return Words(raw, end - length, end, last, np.searchsorted(ends, begin, side="right"))
+    return raw
 
 
 @dataclass
@@ -61,15 +69,17 @@ class Trie:
     roots: dict[bytes, int]  # by language
     phrases: int
 
-    def count(self, words: Words, root: np.ndarray, counts: np.ndarray) -> None:
-        """Adds to ``counts`` the occurrences of every phrase; ``root`` is the first state of each word start.
+    def count(self, words: Words, language: bytes, counts: np.ndarray) -> None:
+        """Adds to ``counts`` the occurrences of every phrase of a language.
 
         All starts advance by one byte at a time. At the end of a word an accepting state counts, and a start
         whose piece goes on takes the blank as its next byte.
         """
         raw, base, check, accept = words.raw, self.base, self.check, self.accept
-        live = np.flatnonzero(root >= 0)
-        place, state = words.start[live], root[live]
+        root = self.roots.get(language)
+        if root is None:
+            return
+        place, state = words.start, np.full(len(words.start), root, dtype=np.int32)
         while len(place):
             symbol = raw[place]
             edge = (symbol == BLANK) | (symbol == BREAK)
