@@ -39,7 +39,7 @@ LEAST = 10
 LONGEST = 3
 KEEP = 2000
 BLOCK_BYTES = 1 << 20  # text worked on at once
-HELD = 3_000_000  # bucket numbers a task holds before it packs them
+HELD = 1_000_000  # bucket numbers a task holds before it packs them
 BUCKET_BITS = 48
 BUCKET_BYTES = 16 << 20
 TRIE_BYTES = 2 << 20
@@ -122,6 +122,8 @@ def _word_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, byt
             content = blob.as_buffer()
             if content.size:
                 yield words_in(np.frombuffer(content, dtype=np.uint8)), name
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def _salt(language: bytes) -> np.uint64:
