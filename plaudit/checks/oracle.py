@@ -251,7 +251,7 @@ def vocabulary_sql(source: str, text: str, *needs: str) -> str:
 
 def neighbours_sql() -> str:
     return statement(
-        f"""SELECT query_id, vec_id, round(score, 4) AS score, CAST(rank AS INTEGER) AS rank
+        f"""SELECT query_id, vec_id, floor(score * 10000 + 0.5) / 10000 AS score, CAST(rank AS INTEGER) AS rank
             FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
             WHERE rank <= {NEIGHBOURS}""",
         extra={

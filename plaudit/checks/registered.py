@@ -306,7 +306,7 @@ def _every_fiftieth(spark, directory):
 def knn_cosine(spark, directory):
     return similar.nearest(
         table(spark, directory, "embeddings"), _every_fiftieth(spark, directory), NEIGHBOURS
-    ).withColumn("score", F.round("score", 4))
+    ).withColumn("score", F.floor(F.col("score") * 10000 + 0.5) / 10000)
 
 
 def knn_lsh(spark, directory):
