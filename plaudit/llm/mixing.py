@@ -1,10 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule, with Spark SQL functions only.
 
-The unit interval is cut into one stretch per source, as long as the source's target share. Slot ``i``
-takes the golden-ratio point ``frac((i + 1) * phi)`` and with it a source, so that every stretch of the
-schedule holds the sources in their target shares. Slots are ranked per source; the source's documents,
-shuffled by hash, are cut into blocks of equal word count, and the slot of rank ``r`` takes block
-``r mod blocks``. A block is taken at most ``max_repeats`` times.
+A source's documents, shuffled by hash, are cut into blocks of equal word count, of a size of the source's
+own: at most a ``least_blocks``-th of the source, so that small sources meet their target as closely as big
+ones. Its target, in blocks, is the number of slots it gets. The unit interval is cut into one stretch per
+source, as long as its share of the slots. Slot ``i`` takes the golden-ratio point ``frac((i + 1) * phi)`` and
+with it a source, so that every part of the schedule holds the sources in their target shares. Slots are ranked
+per source, and the slot of rank ``r`` takes block ``r mod blocks``. The few slots by which points miss a
+source's number are left out or follow at the end, so that a source gets exactly its number: its words are
+within one block, or one word, of the target, and no block is taken more than ``max_repeats`` times.
 
 No source is gathered in one task: running sums go through 4,096 hash buckets per source, slot ranks
 through ranges of slots. Tables per source and per (source, bucket) are aggregates, written once.
@@ -36,8 +39,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"), F.lit(0).cast("long"))
 
 
-def targets(sources: DataFrame, weights: Sequence[int], max_repeats: int) -> DataFrame:
-    """Adds ``target``, and the stretch ``low`` to ``high`` of the unit interval, to ``source, source_size``.
+def targets(
+    sources: DataFrame, weights: Sequence[int], max_repeats: int, block_words: int, least_blocks: int,
+) -> DataFrame:
+    """Adds to ``source, source_size``: ``target``, words of a ``block``, number of ``blocks`` and ``slots``, and
+    the stretch ``low`` to ``high`` of the unit interval.
 
     One row per source. Weighted shares of all sizes, but ``max_repeats`` times a source's size at most;
     what that cuts off is shared anew. With sources in the order of cap over weight, the level at which
@@ -60,17 +66,25 @@ def targets(sources: DataFrame, weights: Sequence[int], max_repeats: int) -> Dat
         ranked
         .withColumn("level", level)
         .withColumn("target", F.least(F.col("cap"), F.max("level").over(everything) * F.col("weight"))))
+    size = F.col("source_size")
+    rounds = F.coalesce(F.floor(F.col("target") / F.nullif(size, F.lit(0))), F.lit(0))
+    rest = F.round((F.col("target") - F.col("rounds") * size) / F.col("block")).cast("long")
     running = by_name.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         shared
-        .withColumn("high", F.sum("target").over(running) / F.nullif(F.sum("target").over(everything), F.lit(0.0)))
+        .withColumn("block", F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(size / least_blocks))))
+        .withColumn("blocks", F.ceil(size / F.col("block")))
+        .withColumn("rounds", rounds)
+        .withColumn("slots", F.col("rounds") * F.col("blocks") + F.least(F.col("blocks"), rest))
+        .withColumn("high", F.sum("slots").over(running) / F.nullif(F.sum("slots").over(everything), F.lit(0)))
         .withColumn("low", F.coalesce(F.lag("high").over(by_name), F.lit(0.0)))
-        .select("key", "source", "source_size", "target", "low", "high"))
+        .select("key", "source", "source_size", "target", "block", "blocks", "slots", "low", "high"))
 
 
-def ranked_slots(sources: DataFrame, slots: int) -> DataFrame:
-    """``key, rank`` for every slot: its source and its place among the source's slots, from 0."""
+def ranked_slots(sources: DataFrame) -> DataFrame:
+    """``key, slot, rank``: as many slots of a source as it is due, in the order of the schedule, ranked from 0."""
     spark = sources.sparkSession
+    slots = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     stretches = sources.filter(F.col("high") > F.col("low")).select("key", "low", "high", F.explode(F.sequence(
         F.floor(F.col("low") * CELLS), F.floor(F.col("high") * CELLS))).alias("cell"))
     points = (
@@ -81,25 +95,30 @@ def ranked_slots(sources: DataFrame, slots: int) -> DataFrame:
         points.join(stretches, "cell")
         .filter((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high")))
         .select("key", "id", F.floor(F.col("id") / SLOT_RANGE).alias("part")))
-    earlier = (
-        dealt.groupBy("key", "part").agg(F.count(F.lit(1)).alias("many"))
-        .select("key", "part", F.coalesce(F.sum("many").over(
-            Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)).alias("earlier")))
+    many = materialise(dealt.groupBy("key", "part").agg(F.count(F.lit(1)).alias("many")), "mix-slots")
+    earlier = many.select("key", "part", F.coalesce(F.sum("many").over(
+        Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("earlier"))
     place = F.row_number().over(Window.partitionBy("key", "part").orderBy("id"))
-    return (
-        dealt.withColumn("place", place).join(earlier, ["key", "part"])
-        .select("key", (F.col("earlier") + F.col("place") - 1).alias("rank")))
+    due = sources.select("key", F.col("slots").alias("due"))
+    by_point = (
+        dealt.withColumn("place", place).join(earlier, ["key", "part"]).join(due, "key")
+        .select("key", F.col("id").alias("slot"), (F.col("earlier") + F.col("place") - 1).alias("rank"), "due")
+        .filter("rank < due").drop("due"))
+    got = many.groupBy("key").agg(F.sum("many").alias("got"))
+    missed = (
+        due.join(got, "key", "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < due")
+        .select("key", F.explode(F.sequence("got", F.col("due") - 1)).alias("rank")))
+    return by_point.unionByName(missed.select("key", (F.lit(slots) + F.col("rank")).alias("slot"), "rank"))
 
 
 @dataclass(frozen=True)
 class Mix:
-    """``placed``: the documents with their word interval in the shuffled source; ``times``: how often
-    each block of a source is taken; ``block``: words of a block. ``names`` has the columns added."""
+    """``placed``: the documents with their word interval in the shuffled source and the words of its blocks;
+    ``times``: how often each block of a source is taken. ``names`` has the columns added."""
 
     placed: DataFrame
     times: DataFrame
-    block: int
     names: dict[str, str]
 
 
@@ -111,14 +130,14 @@ def plan_mix(
     weights: Sequence[int] = (1, 2, 3),
     max_repeats: int = 3,
     block_words: int = 8192,
-    least_slots: int = 1 << 16,
+    least_blocks: int = 1 << 12,
     seed: int = 17,
 ) -> Mix:
     """Deals the sources' blocks to slots.
 
-    Blocks have ``block_words`` words, or fewer where that would make fewer than ``least_slots`` slots.
+    A source's blocks have ``block_words`` words, or fewer where that would make fewer than ``least_blocks`` of them.
     """
-    names = {n: fresh(docs, f"mix_{n}") for n in ("key", "size", "draw", "bucket", "place", "start")}
+    names = {n: fresh(docs, f"mix_{n}") for n in ("key", "size", "draw", "bucket", "place", "start", "block")}
     key, size, draw, bucket = (names[n] for n in ("key", "size", "draw", "bucket"))
     marked = (
         docs
@@ -131,23 +150,18 @@ def plan_mix(
         marked.groupBy(F.col(key).alias("key"), F.col(source).alias("source"), F.col(bucket).alias("bucket"))
         .agg(F.sum(size).alias("words")), "mix-parts")
     sources = materialise(targets(
-        parts.groupBy("key", "source").agg(F.sum("words").alias("source_size")), weights, max_repeats), "mix-sources")
-    total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
-    block = max(1, min(block_words, total // least_slots))
-    slots = -(-total // block)
-    blocks = F.ceil(F.col("source_size") / block)
+        parts.groupBy("key", "source").agg(F.sum("words").alias("source_size")),
+        weights, max_repeats, block_words, least_blocks), "mix-sources")
     times = (
-        ranked_slots(sources, slots)
-        .join(sources.select("key", blocks.alias("blocks")), "key")
-        .filter(F.col("rank") < F.col("blocks") * max_repeats)
+        ranked_slots(sources).join(sources.select("key", "blocks"), "key")
         .groupBy("key", (F.col("rank") % F.col("blocks")).alias("block"))
         .agg(F.count(F.lit(1)).alias("times")))
     offset = F.coalesce(F.sum("words").over(
         Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = (
         parts.select("key", "bucket", offset.alias("offset"))
-        .join(sources.select("key", "source_size", "target"), "key")
-        .select(F.col("key").alias(key), F.col("bucket").alias(bucket), "offset",
+        .join(sources.select("key", "source_size", "target", "block"), "key")
+        .select(F.col("key").alias(key), F.col("bucket").alias(bucket), "offset", F.col("block").alias(names["block"]),
                 F.col("source_size").alias("new_source_size"), F.col("target").alias("new_target")))
     inside = Window.partitionBy(key, bucket).orderBy(F.col(draw), F.col(doc_id), F.col(size))
     placed = (
@@ -156,21 +170,21 @@ def plan_mix(
         .withColumn(names["start"], F.col("offset") - F.col(size) + F.sum(size).over(
             inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .drop("offset"))
-    return Mix(placed, times, block, names)
+    return Mix(placed, times, names)
 
 
 def taken_words(mix: Mix, keep: Sequence[str]) -> DataFrame:
     """``keep`` and ``size, source_size, target, taken`` of every document, by the blocks its words lie in."""
     n = mix.names
-    start, size = F.col(n["start"]), F.col(n["size"])
-    first, last = F.floor(start / mix.block), F.floor((start + size - 1) / mix.block)
+    start, size, block = F.col(n["start"]), F.col(n["size"]), F.col(n["block"])
+    first, last = F.floor(start / block), F.floor((start + size - 1) / block)
     row = [n["key"], n["bucket"], n["place"]]
     columns = [c for c in keep if c not in ("size", "source_size", "target", "taken")]
     pieces = (
         mix.placed
         .withColumn("piece", F.explode_outer(F.when(size > 0, F.sequence(first, last))))
-        .withColumn("piece_words", F.least(start + size, (F.col("piece") + 1) * mix.block)
-                    - F.greatest(start, F.col("piece") * mix.block)))
+        .withColumn("piece_words", F.least(start + size, (F.col("piece") + 1) * block)
+                    - F.greatest(start, F.col("piece") * block)))
     times = mix.times.select(F.col("key").alias(n["key"]), F.col("block").alias("piece"), "times")
     return (
         pieces.join(times, [n["key"], "piece"], "left")
@@ -186,7 +200,7 @@ def repeat_documents(mix: Mix, columns: Sequence[str]) -> DataFrame:
     times = mix.times.select(F.col("key").alias(n["key"]), F.col("block").alias("piece"), "times")
     copies = F.when(F.col(n["size"]) == 0, 1).otherwise(F.coalesce(F.col("times"), F.lit(0)).cast("int"))
     return (
-        mix.placed.withColumn("piece", F.floor(F.col(n["start"]) / mix.block))
+        mix.placed.withColumn("piece", F.floor(F.col(n["start"]) / F.col(n["block"])))
         .join(times, [n["key"], "piece"], "left")
         .withColumn("piece", F.explode(F.array_repeat(F.lit(0), copies)))
         .select(*columns))

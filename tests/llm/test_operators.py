@@ -299,6 +299,36 @@ def test_mix(spark):
         assert got == pytest.approx(target, abs=3 * 60)
 
 
+@pytest.mark.parametrize("block_words", [8192, 64])
+def test_mix_of_small_sources_beside_big_ones(spark, block_words):
+    """Every source is within a word, or 1 %, of its target; whole documents within one document of it."""
+    words = {"a": 300_000, "b": 100, "c": 300, "d": 900, "e": 1700, "f": 420_000, "g": 1, "h": 0}
+    rows, number = [], 0
+    for source, many in words.items():
+        longest = max(10, many // 60)
+        while many > 0 or source == "h" and number % 10:
+            size = min(many, 1 + number * 7919 % longest)
+            rows.append((number, "w " * size, "en", source, None))
+            number, many = number + 1, many - size
+    docs = spark.createDataFrame(rows, DOCUMENT).repartition(4)
+    goal = by_hand(words, (1, 2, 3), 3)
+    mix = mixing.plan_mix(docs, block_words=block_words)
+    taken, sizes = Counter(), defaultdict(int)
+    for row in mixing.taken_words(mix, ["doc_id", "source"]).collect():
+        assert 0 <= row.taken <= 3 * row.size
+        taken[row.source] += row.taken
+        sizes[row.source] = max(sizes[row.source], row.size)
+    for source, target in goal.items():
+        assert taken[source] == pytest.approx(target, rel=0.01, abs=1), source
+    got, times = Counter(), Counter()
+    for row in mixing.repeat_documents(mix, docs.columns).select("doc_id", "source", F.length("text").alias("n")).collect():
+        got[row.source] += row.n // 2
+        times[row.doc_id] += 1
+    assert max(times.values()) <= 3
+    for source, target in goal.items():
+        assert abs(got[source] - target) <= max(sizes[source], 0.01 * target) + 1, source
+
+
 def test_mix_plan_has_no_python(docs):
     plan = mixing.taken_words(mixing.plan_mix(docs), ["doc_id"])._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
