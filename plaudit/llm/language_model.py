@@ -113,6 +113,27 @@ class Chunk:
         trained = np.repeat(~self.held, self.counts)
         return names[order], np.bincount(place[trained], minlength=len(names)), place
 
+    def counted_grams(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys by bucket, their buckets, and their number in training texts, as ``grams`` gives them.
+
+        Keys have 56 bits, so whether a symbol is held out is sorted along with them, and no order is kept.
+        """
+        content, first, lengths = context_tree.stream_of(self.texts)
+        keys = context_tree.keys_of(content, first, lengths)
+        del content
+        keys <<= 1
+        keys |= np.repeat(~self.held, lengths)
+        keys.sort()
+        trained = (keys & 1).astype(np.int32)
+        keys >>= 1
+        heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        names = keys[heads]
+        del keys
+        trained = np.add.reduceat(trained, heads).astype(np.int64)
+        bucket = _near(names, buckets)
+        by_bucket = np.argsort(bucket, kind="stable")
+        return names[by_bucket], bucket[by_bucket], trained[by_bucket]
+
     def grams(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys by bucket, their buckets, their number in training texts, the key of every symbol,
         and the number of symbols of every text."""
@@ -166,7 +187,7 @@ def _send(buckets: int, gram_buckets: int, chunk_bytes: int):
             yield _batch([
                 (WORDS, b, chunk.name, _packed(names[s]), _packed(trained[s].astype(np.int64)))
                 for b, s in _by_bucket(chunk.bucket_of(names))], SENT)
-            keys, bucket, trained, _, _ = chunk.grams(gram_buckets)
+            keys, bucket, trained = chunk.counted_grams(gram_buckets)
             yield _batch([
                 (GRAMS, b, chunk.name, _packed(keys[s]), _packed(trained[s])) for b, s in _by_bucket(bucket)], SENT)
 
