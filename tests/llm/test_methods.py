@@ -225,24 +225,97 @@ def test_alignment():
         assert all(x < y and u < v for (x, u), (y, v) in zip(pairs, pairs[1:]))
 
 
-def test_license_windows_are_complete():
-    """The running counts skip no window that alignment would accept."""
-    random.seed(8)
+def mutated_notices(seed, count):
+    """Texts of notices with a word or number changed, dropped or added, between other words."""
+    generator = random.Random(seed)
+    extra = ["the", "license", "under", "x", "lesser", "2", "3", "nc", "sa", "mit", "version"]
+    for _ in range(count):
+        text = []
+        for _ in range(generator.randint(1, 2)):
+            given = plain_words(generator.choice(license_scan.TEMPLATES).text.encode())
+            for _ in range(generator.randint(0, 2)):
+                at = generator.randrange(len(given))
+                given[at:at + generator.randint(0, 1)] = [w.encode() for w in generator.sample(extra, generator.randint(0, 1))]
+            text += [w.encode() for w in generator.choices(extra, k=generator.randint(0, 4))] + given
+        yield b" ".join(text)
+
+
+def every_window(text):
+    """All windows of all templates, aligned one by one; of runs of matches the best, of overlaps the better."""
+    words, found = text.split(), []
+    for number, template in enumerate(license_scan.TEMPLATES):
+        mine = plain_words(template.text.encode())
+        needs, bars = (plain_words(t.encode()) for t in (template.needs, template.bars))
+        size, best, done = len(mine) + len(mine) // 4 + 2, None, 0
+        for start in range(len(words)):
+            if best and start >= best[2]:
+                found.append(best)
+                best, done = None, best[2]
+            window = words[start:start + size]
+            if start < done or window[0] not in mine:
+                continue
+            pairs = license_scan.align(mine, window)
+            inner = {j for _, j in pairs}
+            if len(pairs) < 0.8 * len(mine) or not all(any(window[j] == n for j in inner) for n in needs):
+                continue
+            low, high = min(inner), max(inner)
+            if any(window[j] in bars for j in range(low, high) if j not in inner):
+                continue
+            if best is None or len(pairs) > -best[0]:
+                best = (-len(pairs), start + low, start + high + 1, -len(pairs) / len(mine), template.license, number)
+        if best:
+            found.append(best)
+    kept = []
+    for many, start, end, share, name, number in sorted(found, key=lambda f: (f[0], f[3], f[1], f[4], f[5])):
+        if all(end <= other[1] or start >= other[2] for other in kept):
+            kept.append((name, start, end, -share))
+    return sorted(kept, key=lambda m: m[1])
+
+
+def test_licenses_agree_with_a_scan_over_all_windows():
     scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
-    notices = [t for _, t in license_scan.TEMPLATES]
-    for _ in range(60):
-        words = plain_words(" ".join(random.choices(["the", "license", "under", "x", "y"], k=30)).encode())
-        given = plain_words(random.choice(notices).encode())
-        del given[random.randrange(len(given))]
-        at = random.randrange(len(words))
-        text = words[:at] + given + words[at:]
-        symbols = np.array([scanner.vocabulary.get(w, 0) for w in text], dtype=np.int32)
-        for _, template, size in scanner.templates:
-            starts = set(scanner.candidates(symbols, template, size).tolist())
-            for start in range(len(text)):
-                window = symbols[start:start + size].tolist()
-                if window[0] in template and len(license_scan.align(template, window)) >= 0.8 * len(template):
-                    assert start in starts
+    texts = list(mutated_notices(8, 60))
+    counts, found = scanner.scan(texts)
+    assert counts == [len(t.split()) for t in texts]
+    assert found == [every_window(t) for t in texts]
+    assert sum(map(len, found)) > 30
+
+
+@pytest.mark.parametrize("text, names", [
+    ("licensed under the GNU General Public License, version 2", ["GPL-2.0"]),
+    ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+     "License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any "
+     "later version.", ["GPL-2.0"]),
+    ("licensed under the GNU Lesser General Public License, version 2.1", ["LGPL-2.1"]),
+    ("licensed under the GNU Lesser General Public License, version 3", ["LGPL-3.0"]),
+    ("licensed under the GNU Library General Public License, version 2", []),
+    ("licensed under the GNU Affero General Public License, version 3", ["AGPL-3.0"]),
+    ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]), ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]),
+    ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]), ("Licensed under CC BY-NC-SA 4.0", ["CC-BY-NC-SA-4.0"]),
+    ("Licensed under CC BY-NC 3.0.", []),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"]),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["CC-BY-SA-4.0"]),
+    ("Licensed under the Apache License, Version 1.1.", []), ("Licensed under the Apache License, Version 2.0", ["Apache-2.0"]),
+    ("Released under the Apache License", []), ("Released under the BSD License", []), ("Released under the MIT License", ["MIT"]),
+    ("Licensed under the BSD 2-Clause License", ["BSD-2-Clause"]), ("Licensed under the BSD 3-Clause License", ["BSD-3-Clause"]),
+])
+def test_license_names(text, names):
+    _, found = license_scan.Scanner(license_scan.TEMPLATES, 0.8).scan([f"Some words. {text} And more.".encode()])
+    assert [m[0] for m in found[0]] == names
+
+
+def test_whole_license_texts():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    whole = [t for t in license_scan.TEMPLATES if len(t.text) > 500]
+    _, found = scanner.scan([f"Copyright (c) 2020 Someone. {t.text} Contents.".encode() for t in whole])
+    assert [[m[0] for m in f] for f in found] == [[t.license] for t in whole]
+
+
+def test_licenses_in_long_runs_of_one_word():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    counts, found = scanner.scan([b"license " * 300_000, b"the software " * 100_000])
+    assert (counts, found) == ([300_000, 200_000], [[], []])
 
 
 def test_license_examples():
