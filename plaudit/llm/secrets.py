@@ -4,7 +4,9 @@ The rules' expressions become one nondeterministic automaton, and by subset cons
 minimisation one transition array that a match may enter at every byte. A block of texts is scanned in
 step, one byte of every text at a time, all rules at once. Where a rule stops accepting, a match ends;
 the reversed automaton of the rule runs back from there and gives its starts. A rule therefore has to
-end in a run of one character class or in fixed text.
+end in a run of one character class or in fixed text. Texts of more than ``LONG`` bytes are scanned one by one
+with the same array. A match is measured only where it can be taken or added, so a text that is one long run of
+a rule's characters takes time in proportion to its length.
 
 Per rule, matches are taken from the left without overlap; those that fail the rule's least length are
 dropped afterwards (``base``). Matches that overlap a taken one of their rule, but meet the least length
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from plaudit.llm.automaton import Dfa, Nfa, determinise
+from plaudit.llm.automaton import Nfa, determinise
 from plaudit.llm.common import add_columns, texts_of
 
 
@@ -48,6 +50,8 @@ RULES = (
     Rule("pem", r"-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 27, base=False),
 )
 
+LONG = 1 << 16
+
 SPAN = StructType([
     StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType())])
 FIELDS = [StructField("base_spans", ArrayType(SPAN)), StructField("spans", ArrayType(SPAN))]
@@ -65,6 +69,12 @@ class Scanner:
         self.dfa = determinise(nfa, starts, ends, anywhere=True)
         back = nfa.reversed()
         self.backward = [determinise(back, [e], [s], anywhere=False) for s, e in zip(starts, ends)]
+        # Plain lists for walks that go byte by byte, and states that nothing leads out of.
+        self.back_rows = [dfa.table.tolist() for dfa in self.backward]
+        self.back_accepts = [(dfa.accepts != 0).tolist() for dfa in self.backward]
+        self.stuck = [
+            ((dfa.table == np.arange(len(dfa.table))[:, None]).all(axis=1) & (dfa.accepts == 0)).tolist()
+            for dfa in self.backward]
         self.exact = [re.compile(rule.pattern.encode()) for rule in rules]
         # Accepting states get the highest numbers, so that one comparison finds them.
         order = np.argsort(self.dfa.accepts != 0, kind="stable")
@@ -76,9 +86,37 @@ class Scanner:
         width = self.dfa.table.shape[1]
         self.width = width
         self.table = (rename[self.dfa.table[order]]).astype(np.int32).ravel()
+        self.rows = self.table.reshape(-1, width).tolist()
+        self.accept_bits = self.accepts.tolist()
+
+    def ends_of_one(self, text: bytes) -> dict[int, list[int]]:
+        """Match ends by rule: where a rule accepts and does not at the next byte."""
+        found: dict[int, list[int]] = {}
+
+        def note(bits: int, place: int) -> None:
+            for number in range(len(self.rules)):
+                if bits >> number & 1:
+                    found.setdefault(number, []).append(place)
+
+        rows, bits, state, before = self.rows, self.accept_bits, self.start, 0
+        for place, symbol in enumerate(text.translate(self.dfa.classes.tobytes())):
+            state = rows[state][symbol]
+            now = bits[state]
+            if before & ~now:
+                note(before & ~now, place)
+            before = now
+        note(before, len(text))
+        return found
 
     def ends(self, texts: list[bytes]) -> dict[tuple[int, int], list[int]]:
         """Match ends by (text, rule), from one pass over the bytes."""
+        found = self.ends_in_step([t if len(t) <= LONG else b"" for t in texts])
+        for number, text in enumerate(texts):
+            if len(text) > LONG:
+                found.update({(number, rule): places for rule, places in self.ends_of_one(text).items()})
+        return found
+
+    def ends_in_step(self, texts: list[bytes]) -> dict[tuple[int, int], list[int]]:
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         order = np.argsort(-lengths, kind="stable")
         symbols = self.dfa.classes[np.frombuffer(b"".join(texts), dtype=np.uint8)]
@@ -114,17 +152,13 @@ class Scanner:
 
     def starts(self, text: bytes, rule: int, end: int) -> list[int]:
         """Starts of matches of a rule with this end."""
-        dfa: Dfa = self.backward[rule]
+        rows, accepts, stuck = self.back_rows[rule], self.back_accepts[rule], self.stuck[rule]
+        classes = self.backward[rule].classes.tolist()
         state, at, found = 0, end, []
-        dead = len(dfa.accepts)
-        rows, classes = dfa.table, dfa.classes
-        while at > 0 and state != dead:
+        while at > 0 and not stuck[state]:
             at -= 1
-            after = int(rows[state, classes[text[at]]])
-            if after == state and not dfa.accepts[state] and (rows[state] == state).all():
-                break  # nothing leads out of this state
-            state = after
-            if dfa.accepts[state]:
+            state = rows[state][classes[text[at]]]
+            if accepts[state]:
                 found.append(at)
         return found
 
@@ -136,18 +170,18 @@ class Scanner:
             matches = sorted({s: e for e in places for s in self.starts(text, number, e)}.items())
             taken, covered = 0, set()
             for start, end in matches:
-                match = exact.match(text, start)
-                long_enough = len(match.group(1 if rule.base and exact.groups else 0)) >= rule.least
-                if start >= taken:
+                fresh = start >= taken
+                if not fresh and end in covered:
+                    continue
+                if fresh:
                     taken = end
-                    if long_enough:
-                        covered.add(end)
-                        every.append((start, number, end))
-                        if rule.base:
-                            base.append((start, number, end))
-                elif long_enough and end not in covered:
-                    covered.add(end)
-                    every.append((start, number, end))
+                match = exact.match(text, start)
+                if len(match.group(1 if rule.base and exact.groups else 0)) < rule.least:
+                    continue
+                if fresh and rule.base:
+                    base.append((start, number, end))
+                covered.add(end)
+                every.append((start, number, end))
         return sorted(base), sorted(every)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -106,6 +107,57 @@ def test_secrets_match_leftmost_expressions():
         assert set(base) <= set(every)
 
 
+def every_secret(text):
+    """Base matches by expression, and of the others, by start, the first of enough length of every end."""
+    base, every = [], []
+    for number, rule in enumerate(secrets.RULES):
+        exact = re.compile(rule.pattern.encode())
+        group = 1 if rule.base and exact.groups else 0
+        taken, ends = -1, set()
+        for start in range(len(text)):
+            match = exact.match(text, start)
+            if not match:
+                continue
+            first = start >= taken
+            taken = match.end() if first else taken
+            if len(match.group(group)) >= rule.least and (first or match.end() not in ends):
+                ends.add(match.end())
+                every.append((start, number, match.end()))
+                if first and rule.base:
+                    base.append((start, number, match.end()))
+    return sorted(base), sorted(every)
+
+
+@pytest.mark.parametrize("long", [0, 1 << 16])
+def test_all_secrets_by_trying_every_start(monkeypatch, long):
+    """Base and added spans, with texts scanned in step and one by one."""
+    monkeypatch.setattr(secrets, "LONG", long)
+    generator = random.Random(5)
+    pieces = ["token", "secret", "=", ": ", '"', "abc", "abcdefgh12", "AKIA", "AKIAABCDEF", "0123456789abcdef", "Z", "é", " ",
+              "ghp_", "a1B2" * 10, "xoxb-", "12345-abcde", "-----BEGIN ", "RSA ", "PRIVATE KEY-----"]
+    texts = ["".join(generator.choices(pieces, k=generator.randint(0, 25))).encode() for _ in range(600)]
+    scanner = secrets.Scanner(secrets.RULES)
+    ends: dict = {}
+    for (text, rule), places in scanner.ends(texts).items():
+        ends.setdefault(text, {})[rule] = places
+    for number, text in enumerate(texts):
+        assert scanner.spans(text, ends.get(number, {})) == every_secret(text), text
+
+
+@pytest.mark.parametrize("run", [b"0123456789abcdef", b"token=", b"AKIA", b"xoxb-", b"secret = "])
+def test_secrets_in_long_runs_take_linear_time(run):
+    scanner = secrets.Scanner(secrets.RULES)
+
+    def seconds(size):
+        text = run * (size // len(run)) + b"abcdefgh1"
+        begin = time.process_time()
+        scanner.spans(text, scanner.ends_of_one(text))
+        return time.process_time() - begin
+
+    assert seconds(4 << 20) < 60
+    assert seconds(2 << 20) < 6 * seconds(1 << 20) + 1
+
+
 def test_elias_fano_round_trip():
     generator = np.random.default_rng(11)
     for bound in (1, 5, 1000, 10**9):
