@@ -8,8 +8,10 @@ is that of the query times c plus a normal term, so its sign differs with probab
 until these probabilities add up to the target for its k-th neighbour, whose cosine is bounded from below by
 the k-th best of a first round. Neighbours closer than the k-th are found with more.
 
-Both rounds are equi-joins on the bucket, whose hot buckets adaptive execution splits; scored pairs are ranked
-per query. A query with fewer than k candidates after the first round asks every bucket there is.
+Neighbouring buckets form cells. Both rounds bring the vectors of a cell and the queries that ask some of its
+buckets together and score them as matrices, bucket by bucket; a cell with more than ``ROWS_PER_CELL`` vectors, as
+copies make it, is cut into slices that meet the same queries. Only the k best of a query and slice go on to be
+ranked. A query with fewer than k candidates after the first round asks every bucket there is.
 """
 
 from __future__ import annotations
@@ -20,14 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plaudit.operators.similar import SCORE_DIGITS, Columns, best_of, unit_rows
-from plaudit.storage import materialise
+from plaudit.storage import balanced, materialise
 
 ROWS_PER_BUCKET = 32
+CELL_BITS = 8  # a cell has two to this buckets
+ROWS_PER_CELL = ROWS_PER_BUCKET << CELL_BITS
+PAIR_CELLS = 4_000_000  # pairs scored at once
+MOST_TASKS = 5000
 MOST_BITS = 24
 FIRST_SHARE = 8  # the first round asks one bucket in so many, eight at least
 
@@ -93,7 +101,7 @@ def _units(df: DataFrame, key: str, vector: str, bits: int, seed: int) -> DataFr
 
 
 def _asked(queries: DataFrame, key: str, bits: int, seed: int, target: float, most: int | None) -> DataFrame:
-    """``key, _bucket`` of the buckets each query asks; with ``_kth`` the cosine its k-th neighbour has at least."""
+    """``key, _cell, _buckets``: the buckets each query asks; ``_kth`` is the cosine its k-th neighbour has at least."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -103,27 +111,102 @@ def _asked(queries: DataFrame, key: str, bits: int, seed: int, target: float, mo
                 # Without k candidates so far nothing is known of the k-th: every bucket is asked.
                 unknown = pd.isna(row[2])
                 chances = flip_chances(projections, 0.0 if unknown else float(row[2]), len(unit))
-                found = list(probes(projections, chances, 2.0 if unknown else target, most))
-                yield pd.DataFrame({key: [row[0]] * len(found), "_bucket": found})
+                found = np.sort(np.fromiter(probes(projections, chances, 2.0 if unknown else target, most), np.int64))
+                cells, starts = np.unique(found >> CELL_BITS, return_index=True)
+                yield pd.DataFrame({key: [row[0]] * len(cells), "_cell": cells, "_buckets": np.split(found, starts[1:])})
 
-    schema = T.StructType([queries.schema[key], T.StructField("_bucket", T.LongType())])
+    schema = T.StructType([
+        queries.schema[key], T.StructField("_cell", T.LongType()), T.StructField("_buckets", T.ArrayType(T.LongType()))])
     return queries.select(key, "_unit", "_kth").mapInPandas(run, schema)
 
 
-def _met(corpus: DataFrame, queries: DataFrame, asked: DataFrame, names: Columns) -> DataFrame:
-    """Scored pairs of queries and the vectors of the buckets they ask; each pair once."""
-    left = corpus.select(names.id, F.col("_unit").alias("_a"), "_bucket")
-    right = asked.join(queries.select(names.query_id, F.col("_unit").alias("_b")), names.query_id)
-    score = F.aggregate(F.zip_with("_a", "_b", lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
-    return left.join(right, "_bucket").select(names.query_id, names.id, F.round(score, SCORE_DIGITS).alias("score"))
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Equally long lists as rows; a null component is NaN."""
+    flat = np.asarray(pc.list_flatten(vectors).to_numpy(), dtype=float)
+    return flat.reshape(len(vectors), len(flat) // len(vectors))
+
+
+def _score_cell(held: pa.Table, asking: pa.Table, id_name: str, query_name: str, best: int | None) -> pa.Table:
+    """Scored pairs of the vectors of a slice and the queries that ask their buckets; see :func:`_met`."""
+    if not held.num_rows or not asking.num_rows:
+        empty = [held[id_name].slice(0, 0), pa.array([], pa.float64()), pa.array([], pa.int64())]
+        return pa.Table.from_arrays([asking[query_name].slice(0, 0), *empty], [query_name, id_name, "score", "tried"])
+    held = held.take(pc.sort_indices(
+        held, sort_keys=[("_bucket", "ascending"), (id_name, "ascending")], null_placement="at_start"))
+    # Places in the order of the ids, by which equal scores rank.
+    places = np.empty(held.num_rows, dtype=np.int64)
+    places[pc.sort_indices(held, sort_keys=[(id_name, "ascending")], null_placement="at_start").to_numpy()] = np.arange(held.num_rows)
+    vectors, queries = _matrix(held["_a"]), _matrix(asking["_b"])
+    buckets, starts = np.unique(held["_bucket"].to_numpy(), return_index=True)
+    ends = np.append(starts[1:], held.num_rows)
+    lengths = pc.list_value_length(asking["_buckets"]).to_numpy()
+    wanted, owners = pc.list_flatten(asking["_buckets"]).to_numpy(), np.repeat(np.arange(len(lengths)), lengths)
+    step = max(1, PAIR_CELLS // held.num_rows)
+    found = []
+    for first in range(0, len(queries), step):
+        mine = (owners >= first) & (owners < first + step)
+        order = np.argsort(wanted[mine], kind="stable")
+        asked, who = wanted[mine][order], owners[mine][order]
+        low, high = np.searchsorted(asked, buckets), np.searchsorted(asked, buckets, side="right")
+        parts = []
+        for i in np.flatnonzero(high > low):
+            rows = who[low[i]:high[i]]
+            scores = np.round(queries[rows] @ vectors[starts[i]:ends[i]].T, SCORE_DIGITS)
+            parts.append((np.repeat(rows, ends[i] - starts[i]), np.tile(np.arange(starts[i], ends[i]), len(rows)), scores.ravel()))
+        if not parts:
+            continue
+        query, row, score = (np.concatenate(column) for column in zip(*parts))
+        tried = np.ones(len(query), dtype=np.int64)
+        if best is not None:
+            order = np.lexsort((places[row], -score, query))
+            query, row, score = query[order], row[order], score[order]
+            heads = np.flatnonzero(np.diff(query, prepend=-1))
+            counts = np.diff(np.append(heads, len(query)))
+            kept = np.arange(len(query)) - np.repeat(heads, counts) < best
+            tried = np.zeros(len(query), dtype=np.int64)
+            tried[heads] = counts
+            query, row, score, tried = query[kept], row[kept], score[kept], tried[kept]
+        found.append(pa.Table.from_arrays(
+            [asking[query_name].take(pa.array(query)), held[id_name].take(pa.array(row)),
+             pa.array(score, from_pandas=True), pa.array(tried)], [query_name, id_name, "score", "tried"]))
+    return pa.concat_tables(found) if found else _score_cell(held.slice(0, 0), asking, id_name, query_name, best)
+
+
+def _met(corpus: DataFrame, queries: DataFrame, asked: DataFrame, names: Columns, best: int | None = None) -> DataFrame:
+    """Scored pairs of queries and the vectors of the buckets they ask; each pair once.
+
+    With ``best`` only so many per query and slice of a cell; ``tried`` adds up to the number of pairs scored.
+    """
+    cells = corpus.select(names.id, F.col("_unit").alias("_a"), "_bucket", F.shiftright("_bucket", CELL_BITS).alias("_cell"))
+    slices = cells.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_CELL).alias("_slices"))
+    left = cells.join(slices, "_cell").withColumn(
+        "_slice", F.pmod(F.xxhash64(names.id), F.col("_slices"))).drop("_slices")
+    right = (
+        asked.join(queries.select(names.query_id, F.col("_unit").alias("_b")), names.query_id).join(slices, "_cell")
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1))).drop("_slices"))
+    schema = T.StructType([
+        queries.schema[names.query_id], corpus.schema[names.id], T.StructField("score", T.DoubleType()),
+        T.StructField("tried", T.LongType())])
+    id_name, query_name = names.id, names.query_id
+
+    def run(held: pa.Table, asking: pa.Table) -> pa.Table:
+        return _score_cell(held, asking, id_name, query_name, best)
+
+    # Few bytes, much work: sized by slices, not by what adaptive execution makes of the bytes.
+    tasks = max(2 * corpus.sparkSession.sparkContext.defaultParallelism, int(slices.agg(F.sum("_slices")).first()[0] or 0))
+    parts = [side.repartition(min(tasks, MOST_TASKS), "_cell", "_slice").groupBy("_cell", "_slice") for side in (left, right)]
+    return parts[0].cogroup(parts[1]).applyInArrow(run, schema)
 
 
 def probed_candidates(
     corpus: DataFrame, queries: DataFrame, k: int = 10, names: Columns = Columns(), target: float = 0.92, seed: int = 42,
+    best: int | None = None,
 ) -> DataFrame:
     """``query_id, vec_id, score`` of all pairs that are compared, each once. Null vectors are left out.
 
-    Query ids must be unique; rows of one corpus id are compared each.
+    With ``best``, rows that cannot be among the so many best of their query are left out where they are scored,
+    and ``tried`` adds up to the number of pairs compared. Query ids must be unique; rows of one corpus id are
+    compared each.
     """
     vectors = corpus.select(names.id, names.vector).filter(F.col(names.vector).isNotNull())
     size = vectors.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(names.vector)).alias("dimensions")).first()
@@ -132,11 +215,14 @@ def probed_candidates(
     wanted = materialise(_units(
         queries.select(names.query_id, names.vector).filter(F.col(names.vector).isNotNull()),
         names.query_id, names.vector, bits, seed), "hashed-queries")
-    first = _asked(wanted.withColumn("_kth", F.lit(0.9)), names.query_id, bits, seed, 1.0, max(8, (1 << bits) // FIRST_SHARE))
-    kth = best_of(_met(held, wanted, first, names), k, names).filter(F.col("rank") == k).select(
+    first = _asked(
+        balanced(wanted.withColumn("_kth", F.lit(0.9))), names.query_id, bits, seed, 1.0, max(8, (1 << bits) // FIRST_SHARE))
+    kth = best_of(_met(held, wanted, first, names, k), k, names).filter(F.col("rank") == k).select(
         names.query_id, F.col("score").alias("_kth"))
-    asked = _asked(wanted.join(kth, names.query_id, "left"), names.query_id, bits, seed, target, None)
-    return _met(held, wanted, materialise(asked, "probes"), names)
+    asked = materialise(_asked(
+        balanced(wanted.join(materialise(kth, "kth"), names.query_id, "left")), names.query_id, bits, seed, target, None), "probes")
+    found = _met(held, wanted, asked, names, best)
+    return found.drop("tried") if best is None else found
 
 
 def nearest_probed(
@@ -146,4 +232,4 @@ def nearest_probed(
 
     ``query_id, vec_id, score, rank`` with rank <= k; scores are exact cosines.
     """
-    return best_of(probed_candidates(corpus, queries, k, names, target, seed), k, names)
+    return best_of(probed_candidates(corpus, queries, k, names, target, seed, best=k).drop("tried"), k, names)

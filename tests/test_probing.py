@@ -65,3 +65,15 @@ def test_a_hot_vector_keeps_every_row(spark):
     other = clustered(spark, 200, dimensions=3).withColumn("vec_id", F.col("vec_id") + 1000)
     recall, _ = measured(spark, same.unionByName(other))
     assert recall >= 0.9
+
+
+def test_slices_of_a_cell_keep_the_best_and_count_every_pair(spark, monkeypatch):
+    corpus = clustered(spark, 600, dimensions=8)
+    queries = corpus.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    pairs = probing.probed_candidates(corpus, queries, 5)
+    wanted = sorted(tuple(r) for r in similar.best_of(pairs, 5).collect())
+    monkeypatch.setattr(probing, "ROWS_PER_CELL", 40)
+    monkeypatch.setattr(probing, "PAIR_CELLS", 200)
+    kept = probing.probed_candidates(corpus, queries, 5, best=5)
+    assert sorted(tuple(r) for r in similar.best_of(kept.drop("tried"), 5).collect()) == wanted
+    assert kept.agg(F.sum("tried")).first()[0] == pairs.count() > kept.count()
