@@ -51,6 +51,18 @@ def test_csv_round_trip(spark, reviews, tmp_path):
     assert sorted(read_csv(spark, str(tmp_path / "csv")).collect(), key=str) == sorted(df.collect(), key=str)
 
 
+def test_compressed_exports_land_in_compressed_files(spark, reviews, tmp_path):
+    source, lake = str(tmp_path / "source"), Lake(str(tmp_path / "lake"))
+    df = reviews(*AWKWARD)
+    write_csv(df, source, "gzip")
+    land_csv(spark, lake, source)
+    land(df, lake)
+    stored = [name for _, _, names in os.walk(lake.path("bronze", "reviews")) for name in names if name.startswith("part-")]
+    assert stored and all(name.endswith(".csv.gz") for name in stored)
+    rows = read_bronze(spark, lake).drop("ingest_date").collect()
+    assert sorted(rows, key=str) == sorted(2 * df.collect(), key=str)
+
+
 def test_landing_appends_unchanged(spark, reviews, tmp_path):
     source, lake = str(tmp_path / "source"), Lake(str(tmp_path / "lake"))
     write_csv(reviews(*AWKWARD), source)
