@@ -19,7 +19,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +33,11 @@ from plaudit.llm.elias_fano import EliasFano
 SHARD_SCHEMA = (
     "part int, shard int, id_bytes int, n_docs bigint, n_ids bigint, doc_ids array<bigint>, ends binary, ids binary")
 #: Words whose ids a worker remembers at most.
-REMEMBERED = 700_000
+REMEMBERED = 1_000_000
 #: Characters that the tokenizer keeps apart from letters, whatever stands around them.
 MARKS = b".,;:!?*$#&%|()-\""
+#: Lower-cases A-Z and turns the white space of ``bytes.split`` into blanks.
+_SPACED = lower_ascii(bytes(32 if byte in b"\t\n\v\f\r" else byte for byte in range(256)))
 
 
 class WordEncoder:
@@ -54,68 +56,84 @@ class WordEncoder:
         self.known: dict[bytes, int] = {}
         self.flat, self.first, self.many = array("I"), array("q"), array("q")
 
-    def _add(self, word: bytes, ids: list[int]) -> None:
-        self.known[word] = len(self.first)
-        self.first.append(len(self.flat))
-        self.many.append(len(ids))
-        self.flat.extend(ids)
-
-    def _letters(self, word: bytes) -> list[int] | None:
-        """Ids of a word of letters, which is one piece for the tokenizer's merges; else nothing."""
-        text = word.decode()
-        if text.isascii():
-            if not text.isalpha():
-                return None
-        else:
-            text = self.tokenizer.normalizer.normalize_str(text)
-            if not text.isalpha():
-                return None
-            text = self.bytes_as_letters.pre_tokenize_str(text)[0][0]
-        return [token.id for token in self.tokenizer.model.tokenize(text)]
-
-    def _ids(self, word: bytes) -> list[int]:
-        """Ids of one word. Marks around letters are pieces of their own, so each part is looked up alone."""
-        core = word.strip(MARKS)
-        at = word.find(core)
-        parts = [p for p in (word[:at], core, word[at + len(core):]) if p] if core else [word]
-        if len(parts) == 1:
-            ids = self._letters(word)
-            return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids if ids is None else ids
-        if core not in self.known:
-            ids = self._letters(core)
+    def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
+        sizes = list(map(len, ids))
+        self.known.update(zip(words, range(len(self.many), len(self.many) + len(words))))
+        self.first.extend(accumulate(sizes[:-1], initial=len(self.flat)) if sizes else ())
+        self.many.extend(sizes)
+        self.flat.extend(chain.from_iterable(ids))
+
+    def _letters(self, words: list[bytes]) -> dict[bytes, str]:
+        """The words of letters, each one piece for the tokenizer's merges, in the letters these are made of."""
+        of_letters, others = {}, []
+        for word in words:
+            text = word.decode()
+            if not text.isascii():
+                others.append((word, text))
+            elif text.isalpha():
+                of_letters[word] = text
+        others = [(word, text) for word, text in others if not any(map(str.isspace, text))]
+        # Blanks between them keep words apart in both steps; the second one writes a blank as the letter \u0120.
+        normal = self.tokenizer.normalizer.normalize_str(" ".join(text for _, text in others)).split(" ")
+        others = [(word, text) for (word, _), text in zip(others, normal, strict=True) if text.isalpha()] if others else []
+        if others:
+            mapped = self.bytes_as_letters.pre_tokenize_str(" ".join(text for _, text in others))[0][0].split("\u0120")
+            of_letters.update(zip((word for word, _ in others), mapped, strict=True))
+        return of_letters
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Takes up new words. Marks around letters are pieces of their own, so each part is looked up alone."""
+        cores = [word.strip(MARKS) for word in words]
+        letters = self._letters(list(dict.fromkeys(cores)))
+        tokenize = self.tokenizer.model.tokenize
+        new = {word: [token.id for token in tokenize(text)] for word, text in letters.items() if word not in self.known}
+        self._add(list(new), list(new.values()))
+        marks: dict[bytes, list[int]] = {b"": []}
+        joined: dict[bytes, list[int]] = {}
+        for word, core in zip(words, cores):
+            if word in self.known:
+                continue
+            if core not in letters:
+                joined[word] = self._whole(word)
+                continue
+            before, _, after = word.partition(core)
+            for part in (before, after):
+                if part not in marks:
+                    marks[part] = self._whole(part)
+            ids = new.get(core)
             if ids is None:
-                return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            self._add(core, ids)
-        elif not core.decode().isalpha():
-            return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        result: list[int] = []
-        for part in parts:
-            if part not in self.known:
-                self._add(part, self._ids(part))
-            number = self.known[part]
-            result += self.flat[self.first[number]:self.first[number] + self.many[number]]
-        return result
+                number = self.known[core]
+                ids = self.flat[self.first[number]:self.first[number] + self.many[number]].tolist()
+            joined[word] = marks[before] + ids + marks[after]
+        self._add(list(joined), list(joined.values()))
+
+    def _whole(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
 
     def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with the end id after every text, and the ends of the texts in them."""
         marked = {row for row, text in enumerate(texts) if text and b"<|" in text}
-        words = [[] if not t or row in marked else lower_ascii(t).split() for row, t in enumerate(texts)]
+        joined = b" ".join(b"" if not t or row in marked else t for row, t in enumerate(texts)).translate(_SPACED) + b" "
+        raw = np.frombuffer(joined, dtype=np.uint8)
+        starts = np.flatnonzero(np.diff(raw != 32, prepend=False))[::2]
+        # A word with the blanks after it is one value, so the values lie in the text one after another.
+        encoded = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(joined)]).dictionary_encode()
+        words = encoded.dictionary.buffers()[2].to_pybytes().split() if len(starts) else []
         if len(self.known) > REMEMBERED:
             self.forget()
         known = self.known
-        for word in set(chain.from_iterable(words)).difference(known):
-            if word not in known:
-                self._add(word, self._ids(word))
+        self._learn([word for word in dict.fromkeys(words) if word not in known])
         flat, first, many = (np.array(x) for x in (self.flat, self.first, self.many))
-        counts = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        number = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=int(counts.sum()))
+        number = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))[encoded.indices.to_numpy()]
+        begins = np.cumsum([0] + [1 if not t or row in marked else len(t) + 1 for row, t in enumerate(texts)])
         sizes = many[number]
-        text_ids = np.zeros(len(texts), dtype=np.int64)
-        np.add.at(text_ids, np.repeat(np.arange(len(texts)), counts), sizes)
-        at = np.repeat(first[number] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        text_ids = np.diff(before[np.searchsorted(starts, begins)])
+        at = np.repeat(first[number] - before[:-1], sizes) + np.arange(int(before[-1]))
         ids = flat[at]
         ends = np.cumsum(text_ids)
-        whole = {row: self.tokenizer.encode(texts[row].decode(), add_special_tokens=False).ids for row in marked}
+        whole = {row: self._whole(texts[row]) for row in marked}
         if whole:
             ids = np.insert(ids, np.repeat([int(ends[r]) for r in whole], [len(v) for v in whole.values()]),
                             [i for v in whole.values() for i in v])

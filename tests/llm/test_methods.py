@@ -401,3 +401,22 @@ def test_toxicity_model_tells_words_apart():
     assert sum(score(text(False)) >= 0.7 for _ in range(50)) <= 2
     assert 0 <= score(None) < 0.7 and score(b"") == score(None)
     assert toxicity.train([], [b"x"]) is None
+
+
+def test_token_ids_look_up_a_word_once_a_block():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        encoder = WordEncoder(file.read(), 1)
+    looked_up = []
+
+    class Known(dict):
+        def __getitem__(self, word):
+            looked_up.append(word)
+            return super().__getitem__(word)
+
+    encoder.known = Known()
+    words = ["plain", "(Marked),", "É\u0301t\u00e9", "a\u00a0b", "don't", "12", "...", "日本", "a\x1cb"]
+    texts = ["  ".join(words) + "\n", None, "", " \t", "\x0b".join(words) * 40, "<|endoftext|> " + words[0]] * 30
+    ids, ends = encoder.encode([None if text is None else text.encode() for text in texts])
+    expected = [[*encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, 1] for text in texts]
+    assert [part.tolist() for part in np.split(ids, ends[:-1])] == expected
+    assert len(looked_up) < 100
