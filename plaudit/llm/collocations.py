@@ -8,13 +8,16 @@ blanks and tabs; this plain form is stored once. A phrase is two to ``longest``
    count of each of its phrases, so phrases of buckets below ``least`` can be left out safely; the phrases
    of the others, and with them every part of theirs that is a phrase, are the candidates. Buckets go to the
    tasks in blocks of at most ``BUCKET_BYTES``.
-2. Counts. Candidates and their words become double-array tries of at most ``TRIE_BYTES`` of keys each, built
-   in tasks, broadcast one at a time. A task advances all word starts of a block of text together, byte by
-   byte, and adds up accepting states; the shards' counts are summed by ranges of phrase numbers.
+2. Counts. Candidates and their words become double-array tries of about ``TRIE_BYTES`` of keys each, built
+   in tasks, broadcast one at a time. A phrase is dealt to a trie by its first two words, a word by itself. One
+   pass over the texts deals what can be counted in the same way: the distinct words of a block of text, and
+   from each word start the longest run whose buckets can be frequent, with their numbers. A trie meets only
+   what is dealt to it, so the work does not grow with the number of tries. A task advances all runs of a row
+   together, byte by byte, and adds up accepting states; the counts are summed by ranges of phrase numbers.
 3. Scores, cuts, containment and ranks are DataFrame work on exact decimals.
 
 Null texts are empty, a null language is ``und``. Repeated rows count as often as they occur, and an empty
-table gives an empty result. A long text is worked on in slices that end where a piece ends, so no phrase is
+table gives an empty result. Equal runs of a block of text are told by 64-bit numbers. A long text is worked on in slices that end where a piece ends, so no phrase is
 lost. Columns other than text and language play no part. A hot phrase costs one entry per task and step.
 """
 
@@ -26,13 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from plaudit.llm.common import blocks_of, texts_of
-from plaudit.llm.phrase_trie import Trie, Words, build, plain_words, words_in
+from plaudit.llm.phrase_trie import BREAK, Trie, Words, build, plain_words, words_in
 from plaudit.storage import materialise, work_path
 
 LEAST = 10
@@ -42,7 +46,8 @@ BLOCK_BYTES = 1 << 20  # text worked on at once
 HELD = 1_000_000  # bucket numbers a task holds before it packs them
 BUCKET_BITS = 48
 BUCKET_BYTES = 16 << 20
-TRIE_BYTES = 2 << 20
+TRIE_BYTES = 1 << 20
+SIEVE_BITS = 27  # of a bitmap of all bucket numbers, at most
 RANGE = 1 << 16  # phrase numbers summed in one group
 
 _SYMBOL = np.random.default_rng(2).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -65,16 +70,20 @@ class PhraseHashes:
 
             self.powers, self.inverse = powers(_FACTOR), powers(pow(_FACTOR, -1, 1 << 64))
 
-    def of(self, words: Words, salt: np.uint64, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Hash, first byte and end of all runs of two words, then of three, and so on."""
+    def of(
+        self, words: Words, salt: np.uint64, longest: int, shortest: int = 2,
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Hash, first word and last word of all runs of ``shortest`` words, then of one more, and so on."""
         self._reach(len(words.raw) + 1)
         sums = np.zeros(len(words.raw) + 1, dtype=np.uint64)
         np.cumsum(_SYMBOL[words.raw] * self.powers[:len(words.raw)], out=sums[1:])
         whole = ~words.last
-        run = whole[:-1]
-        for length in range(2, longest + 1):
-            if length > 2:
+        run = np.ones(len(whole), dtype=bool)
+        for length in range(1, longest + 1):
+            if length > 1:
                 run = run[:-1] & whole[length - 2:-1]
+            if length < shortest:
+                continue
             first = np.flatnonzero(run)
             start, end = words.start[first], words.end[first + length - 1]
             value = (sums[end] - sums[start]) * self.inverse[start] ^ salt
@@ -82,7 +91,7 @@ class PhraseHashes:
             value *= np.uint64(0xBF58476D1CE4E5B9)
             value ^= value >> np.uint64(32)
             value *= np.uint64(0x94D049BB133111EB)
-            yield value ^ (value >> np.uint64(31)), start, end
+            yield value ^ (value >> np.uint64(31)), first, first + length - 1
 
 
 def _slices(text: bytes, limit: int) -> Iterator[bytes]:
@@ -239,11 +248,12 @@ def _candidates(texts: DataFrame, buckets: np.ndarray, longest: int) -> DataFram
         wanted, hashes = BucketSet(sent.value), PhraseHashes()
         for words, language in _word_blocks(batches):
             raw = words.raw.tobytes()
-            for value, start, end in hashes.of(words, _salt(language), longest):
+            for value, first, last in hashes.of(words, _salt(language), longest):
                 place = wanted.first_places(value)
+                start, end = words.start[first[place]], words.end[last[place]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([language.decode()] * len(place), pa.string()),
-                    pa.array([raw[a:b] for a, b in zip(start[place].tolist(), end[place].tolist())], pa.binary())],
+                    pa.array([raw[a:b] for a, b in zip(start.tolist(), end.tolist())], pa.binary())],
                     names=_PHRASES.names)
 
     return texts.mapInArrow(find, _PHRASES)
@@ -273,14 +283,93 @@ _NUMBERED = StructType([
     StructField("block", IntegerType()), StructField("number", IntegerType()), StructField("f", LongType())])
 
 
-def _shard_counts(texts: DataFrame, block: int, sent: Broadcast) -> DataFrame:
+class Sieve:
+    """A bitmap of the highest bits of bucket numbers; what it lets through may still be in no bucket."""
+
+    def __init__(self, buckets: int):
+        bits = min(SIEVE_BITS, max(10, buckets.bit_length() + 3))
+        self.shift = np.uint64(64 - bits)
+        self.bitmap = np.zeros(1 << bits - 3, dtype=np.uint8)
+
+    def add(self, values: np.ndarray) -> None:
+        place = values >> self.shift
+        np.bitwise_or.at(self.bitmap, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+
+    def holds(self, values: np.ndarray) -> np.ndarray:
+        place = values >> self.shift
+        return self.bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+
+_STORED = StructType([
+    StructField("lang", StringType()), StructField("words", BinaryType()), StructField("counts", BinaryType())])
+_RUNS = StructType([StructField("block", IntegerType()), StructField("share", IntegerType()), *_STORED])
+
+
+def _distinct_runs(
+    words: Words, salt: np.uint64, longest: int, hashes: PhraseHashes, sieve: Sieve,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and last word of distinct words and runs, the hash by which they are dealt, and their number."""
+    lengths = hashes.of(words, salt, longest, shortest=1)
+    value, _, _ = next(lengths)
+    dealt, first, counts = np.unique(value, return_index=True, return_counts=True)
+    found = [(first, first, dealt, counts)]
+    alive = np.ones(len(value), dtype=bool)
+    last = np.arange(len(value))
+    run, by_two = value, value.copy()
+    for value, first, end in lengths:
+        on = alive[first] & sieve.holds(value)
+        value, first, end = value[on], first[on], end[on]
+        alive = np.zeros(len(alive), dtype=bool)
+        alive[first] = True
+        run[first], last[first] = value, end
+        two = end == first + 1
+        by_two[first[two]] = value[two]
+    start = np.flatnonzero(last > np.arange(len(last)))
+    _, place, counts = np.unique(run[start], return_index=True, return_counts=True)
+    start = start[place]
+    found.append((start, last[start], by_two[start], counts))
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def _dealt_runs(texts: DataFrame, sieve: Sieve, blocks: int, shares: int, longest: int) -> DataFrame:
+    """What the phrases of each block can occur in, a piece for each word or run, with its number."""
+    sent = texts.sparkSession.sparkContext.broadcast(sieve)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = PhraseHashes()
+        share = TaskContext.get().partitionId()
+        for words, language in _word_blocks(batches):
+            first, last, dealt, counts = _distinct_runs(words, _salt(language), longest, hashes, sent.value)
+            block = (dealt % np.uint64(blocks)).astype(np.int32)
+            order = np.argsort(block, kind="stable")
+            block, counts = block[order], counts[order].astype(np.int32)
+            start = words.start[first[order]]
+            size = words.end[last[order]] + 1 - start
+            stop = np.cumsum(size)
+            content = words.raw[np.repeat(start - (stop - size), size) + np.arange(int(size.sum()))]
+            content[stop - 1] = BREAK
+            cuts = np.flatnonzero(np.diff(block, prepend=-1)).tolist() + [len(block)]
+            stop = np.concatenate([[0], stop]).tolist()
+            share += 1
+            many = len(cuts) - 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array(block[cuts[:-1]], pa.int32()), pa.array([share % shares] * many, pa.int32()),
+                pa.array([language.decode()] * many, pa.string()),
+                pa.array([content[stop[a]:stop[b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
+                pa.array([counts[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=_RUNS.names)
+
+    return texts.mapInArrow(run, _RUNS)
+
+
+def _shard_counts(runs: DataFrame, block: int, sent: Broadcast) -> DataFrame:
     """Occurrences of the phrases of the pickled trie that was sent, per task and range of phrase numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie: Trie = pickle.loads(sent.value)
         counts = np.zeros(trie.phrases, dtype=np.int64)
-        for words, language in _word_blocks(batches):
-            trie.count(words, language, counts)
+        for batch in batches:
+            for name, content, many in zip(*(texts_of(batch.column(c)) for c in ("lang", "words", "counts"))):
+                trie.count(words_in(np.frombuffer(content, dtype=np.uint8)), name, counts, np.frombuffer(many, dtype=np.int32))
         parts = [(i, counts[i:i + RANGE]) for i in range(0, len(counts), RANGE)]
         parts = [(i // RANGE, part.tobytes()) for i, part in parts if part.any()]
         if parts:
@@ -288,7 +377,7 @@ def _shard_counts(texts: DataFrame, block: int, sent: Broadcast) -> DataFrame:
                 pa.array([block] * len(parts), pa.int32()), pa.array([i for i, _ in parts], pa.int32()),
                 pa.array([blob for _, blob in parts], pa.binary())], names=_COUNTS.names)
 
-    return texts.mapInArrow(run, _COUNTS)
+    return runs.mapInArrow(run, _COUNTS)
 
 
 def _summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -302,18 +391,28 @@ def _summed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         "f": pa.array(total[some], pa.int64())})
 
 
-def _blocked(keys: DataFrame, blocks: int, trie_bytes: int) -> DataFrame:
-    """Deals phrases to blocks by their first word, so that a word start runs deep in one trie only.
+_DEALT = StructType([
+    StructField("lang", StringType()), StructField("phrase", StringType()), StructField("block", IntegerType())])
 
-    The phrases of a first word with more than an eighth of a trie's bytes are dealt one by one.
-    """
-    first = keys.withColumn("first", F.substring_index("phrase", " ", 1))
-    heavy = first.groupBy("lang", "first").agg(F.sum(F.octet_length("phrase")).alias("size")).filter(
-        F.col("size") > trie_bytes // 8).select("lang", "first", F.lit(True).alias("heavy"))
-    by_word, by_phrase = (F.xxhash64("lang", name) for name in ("first", "phrase"))
-    place = F.when(F.col("heavy"), by_phrase).otherwise(by_word)
-    return first.join(heavy, ["lang", "first"], "left").select(
-        "lang", "phrase", F.pmod(place, F.lit(blocks)).cast("int").alias("block"))
+
+def _blocked(keys: DataFrame, blocks: int) -> DataFrame:
+    """Deals phrases to blocks by the hash of their first two words, and words by their own."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = PhraseHashes()
+        for batch in batches:
+            for name in batch.column("lang").unique():
+                phrases = batch.filter(pc.equal(batch.column("lang"), name)).column("phrase")
+                words = words_in(np.frombuffer(b"".join(p + b"\n" for p in texts_of(phrases)), dtype=np.uint8))
+                value = np.empty(len(words.start), dtype=np.uint64)
+                for found, first, _ in hashes.of(words, _salt(name.as_py().encode()), 2, shortest=1):
+                    value[first] = found
+                begins = np.concatenate([[True], words.last[:-1]])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([name.as_py()] * len(phrases), pa.string()), phrases,
+                    pa.array((value[begins] % np.uint64(blocks)).astype(np.int32))], names=_DEALT.names)
+
+    return keys.select("lang", "phrase").mapInArrow(deal, _DEALT)
 
 
 def phrase_counts(
@@ -335,13 +434,16 @@ def phrase_counts(
     found = None
     block, held = [], 0
     sizes = buckets.filter((F.col("part") != _TOTALS) & (F.col("n") > 0)).select("part", "n").orderBy("part").collect()
+    sieve = Sieve(sum(row["n"] for row in sizes))
     for place, row in enumerate(sizes):
         block.append(row["part"])
         held += 8 * row["n"]
         if place + 1 == len(sizes) or held + 8 * sizes[place + 1]["n"] > bucket_bytes:
             of_block = F.col("part").between(block[0], block[-1])
             blobs = [r[0] for r in buckets.filter(of_block).orderBy("part").select("packed").collect()]
-            part = _candidates(texts, np.frombuffer(b"".join(blobs), dtype=np.uint64), longest)
+            numbers = np.frombuffer(b"".join(blobs), dtype=np.uint64)
+            sieve.add(numbers)
+            part = _candidates(texts, numbers, longest)
             found = part if found is None else found.unionByName(part)
             block, held = [], 0
     if found is None:
@@ -353,15 +455,20 @@ def phrase_counts(
     keys = phrases.unionByName(words)
     total = keys.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 1)).first()[0]
     blocks = -(-total // trie_bytes)
-    numbered = _blocked(keys, blocks, trie_bytes)
-    tries = materialise(numbered.groupBy("block").applyInArrow(_built, _TRIES), "phrase-tries")
+    tries = materialise(_blocked(keys, blocks).groupBy("block").applyInArrow(_built, _TRIES), "phrase-tries")
+    # A trie's runs lie in a folder of their own, in about as many files as there are cores.
+    dealt = work_path(spark, "phrase-runs")
+    _dealt_runs(texts, sieve, blocks, spark.sparkContext.defaultParallelism, longest).repartition("block", "share").write.option(
+        "compression", "zstd").partitionBy("block").parquet(dealt)
+    stored_runs = spark.read.schema(StructType([*_STORED, _RUNS["block"]])).parquet(dealt)
     path = work_path(spark, "phrase-shard-counts")
     paths = []
     for row in tries.filter(F.col("trie").isNotNull()).select("block").orderBy("block").collect():
         number = row["block"]
-        stored = tries.filter((F.col("block") == number) & F.col("trie").isNotNull()).select("trie")
-        sent = spark.sparkContext.broadcast(stored.first()["trie"])
-        summed = _shard_counts(texts, number, sent).groupBy("block", "part").applyInArrow(_summed, _NUMBERED)
+        built = tries.filter((F.col("block") == number) & F.col("trie").isNotNull()).select("trie")
+        sent = spark.sparkContext.broadcast(built.first()["trie"])
+        runs = stored_runs.filter(F.col("block") == number).drop("block")
+        summed = _shard_counts(runs, number, sent).groupBy("block", "part").applyInArrow(_summed, _NUMBERED)
         paths.append(f"{path}/{number}")
         summed.write.parquet(paths[-1])
         sent.destroy()

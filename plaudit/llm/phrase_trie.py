@@ -69,27 +69,35 @@ class Trie:
     roots: dict[bytes, int]  # by language
     phrases: int
 
-    def count(self, words: Words, language: bytes, counts: np.ndarray) -> None:
+    def count(self, words: Words, language: bytes, counts: np.ndarray, weights: np.ndarray | None = None) -> None:
         """Adds to ``counts`` the occurrences of every phrase of a language.
 
         All starts advance by one byte at a time. At the end of a word an accepting state counts, and a start
-        whose piece goes on takes the blank as its next byte.
+        whose piece goes on takes the blank as its next byte. With ``weights``, one for each piece, only the
+        starts of pieces advance and count so often, and a first word counts only if it is the whole piece.
         """
         raw, base, check, accept = words.raw, self.base, self.check, self.accept
         root = self.roots.get(language)
         if root is None:
             return
-        place, state = words.start, np.full(len(words.start), root, dtype=np.int32)
+        place = words.start
+        if weights is not None:
+            place = place[np.concatenate([[True], words.last[:-1]])]
+            first = np.ones(len(place), dtype=bool)
+        state = np.full(len(place), root, dtype=np.int32)
         while len(place):
             symbol = raw[place]
             edge = (symbol == BLANK) | (symbol == BREAK)
-            met = accept[state[edge]]
-            met = met[met >= 0]
-            if len(met):
-                tally = np.bincount(met)
-                counts[:len(tally)] += tally
+            counted = edge if weights is None else edge & ~(first & (symbol == BLANK))
+            met = accept[state[counted]]
+            some = met >= 0
+            if some.any():
+                tally = np.bincount(met[some], weights=None if weights is None else weights[counted][some])
+                counts[:len(tally)] += tally.astype(np.int64)
             follow = base[state] + symbol
             on = (check[follow] == state) & (symbol != BREAK)
+            if weights is not None:
+                weights, first = weights[on], (first & ~edge)[on]
             place, state = place[on] + 1, follow[on]
 
 

@@ -119,3 +119,45 @@ def test_trie_counts_every_phrase():
     listed = text.split(b" ")
     seen = collections.Counter(b" ".join(listed[i:i + k]) for k in (1, 2, 3) for i in range(len(listed) - k + 1))
     assert counts.tolist() == [seen[phrase] if lang == b"b" else 0 for lang, phrase in keys]
+
+
+def test_tries_share_the_text_out(spark, monkeypatch):
+    rows = corpus(7, 120)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    counted, read = collocations._shard_counts, []
+
+    def counting(runs, *others):
+        read.append(sum(len(row[0]) for row in runs.select("words").collect()))
+        return counted(runs, *others)
+
+    monkeypatch.setattr(collocations, "_shard_counts", counting)
+    found = []
+    for trie_bytes in (1 << 20, 400):
+        counts, _ = collocations.phrase_counts(docs, trie_bytes=trie_bytes)
+        found.append((sorted(map(tuple, counts.collect())), list(read)))
+        read.clear()
+    (one, at_once), (many, in_turn) = found
+    assert one == many
+    assert len(at_once) == 1 < len(in_turn)
+    assert sum(in_turn) == sum(at_once)
+
+
+def test_distinct_runs_count_every_phrase_once():
+    draw = random.Random(8)
+    text = b"".join(draw.choice([b"a", b"b", b"cc", b"dd"]) + draw.choice([b" ", b" ", b"\n"]) for _ in range(3000)) + b"a\n"
+    words = phrase_trie.words_in(np.frombuffer(text, dtype=np.uint8))
+    hashes, salt = collocations.PhraseHashes(), np.uint64(5)
+    every = np.concatenate([value for value, _, _ in hashes.of(words, salt, 3)])
+    sieve = collocations.Sieve(len(every))
+    sieve.add(every)
+    first, last, _, counts = collocations._distinct_runs(words, salt, 3, hashes, sieve)
+    runs = [text[a:b] for a, b in zip(words.start[first], words.end[last])]
+    assert len(set(runs)) == len(runs)
+    listed = [piece.split(b" ") for piece in text.split(b"\n") if piece]
+    seen = collections.Counter(b" ".join(p[i:i + k]) for p in listed for k in (1, 2, 3) for i in range(len(p) - k + 1))
+    keys = sorted(seen)
+    trie = phrase_trie.build(pa.array([b"x"] * len(keys), pa.binary()), pa.array(keys, pa.binary()))
+    found = np.zeros(len(keys), dtype=np.int64)
+    raw = np.frombuffer(b"".join(run + b"\n" for run in runs), dtype=np.uint8)
+    trie.count(phrase_trie.words_in(raw), b"x", found, counts)
+    assert found.tolist() == [seen[key] for key in keys]
