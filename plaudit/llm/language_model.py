@@ -138,24 +138,20 @@ class Chunk:
         """Distinct keys by bucket, their buckets, their number in training texts, the key of every symbol,
         and the number of symbols of every text."""
         content, first, lengths = context_tree.stream_of(self.texts)
-        # Arrays of a number per symbol are the most a task holds, so they are let go as soon as possible.
-        keys = context_tree.keys_of(content, first, lengths)
+        # Arrays of a number per symbol are the most a task holds, so they are let go as soon as possible. Keys are
+        # numbered as they are met, and only the distinct ones are sorted.
+        encoded = pa.array(context_tree.keys_of(content, first, lengths)).dictionary_encode()
         del content
-        order = np.argsort(keys)
-        ordered = keys[order]
-        del keys
-        order = order.astype(np.int32)
-        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        names = ordered[heads]
-        del ordered
-        trained = np.add.reduceat(np.repeat(~self.held, lengths)[order].astype(np.int32), heads).astype(np.int64)
+        names, met = encoded.dictionary.to_numpy(), encoded.indices.to_numpy()
+        del encoded
+        trained = np.bincount(met[np.repeat(~self.held, lengths)], minlength=len(names))
+        order = np.argsort(names)
+        names, trained = names[order], trained[order]
         bucket = _near(names, buckets)
         by_bucket = np.argsort(bucket, kind="stable")
         back = np.empty(len(names), dtype=np.int32)
-        back[by_bucket] = np.arange(len(names))
-        place = np.empty(len(order), dtype=np.int32)
-        place[order] = np.repeat(back, np.diff(np.append(heads, len(order))))
-        del order
+        back[order[by_bucket]] = np.arange(len(names))
+        place = back[met]
         return names[by_bucket], bucket[by_bucket], trained[by_bucket], place, lengths
 
 

@@ -122,7 +122,8 @@ def test_trie_counts_every_phrase():
 
 
 def test_tries_share_the_text_out(spark, monkeypatch):
-    rows = corpus(7, 120)
+    draw = random.Random(7)
+    rows = [(" ".join(draw.choices(["a", "b", "cc", "dd", "eee", "fff"], k=30)), "en", "s") for _ in range(200)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
     counted, read = collocations._shard_counts, []
 
@@ -132,7 +133,7 @@ def test_tries_share_the_text_out(spark, monkeypatch):
 
     monkeypatch.setattr(collocations, "_shard_counts", counting)
     found = []
-    for trie_bytes in (1 << 20, 400):
+    for trie_bytes in (1 << 20, 1000):
         counts, _ = collocations.phrase_counts(docs, trie_bytes=trie_bytes)
         found.append((sorted(map(tuple, counts.collect())), list(read)))
         read.clear()
