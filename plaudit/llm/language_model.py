@@ -69,6 +69,16 @@ def _unpacked(content: bytes, kind) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
 
 
+def _packed_counts(values: np.ndarray) -> bytes:
+    """Byte planes of numbers that follow no order, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked_counts(content: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(content), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
 def _packed_floats(values: np.ndarray) -> bytes:
     return zstandard.compress(np.ascontiguousarray(values.astype("<f4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
 
@@ -181,11 +191,11 @@ def _send(buckets: int, gram_buckets: int, chunk_bytes: int):
             chunk = Chunk(batch, memory, buckets)
             names, trained, _ = chunk.words()
             yield _batch([
-                (WORDS, b, chunk.name, _packed(names[s]), _packed(trained[s].astype(np.int64)))
+                (WORDS, b, chunk.name, _packed(names[s]), _packed_counts(trained[s]))
                 for b, s in _by_bucket(chunk.bucket_of(names))], SENT)
             keys, bucket, trained = chunk.counted_grams(gram_buckets)
             yield _batch([
-                (GRAMS, b, chunk.name, _packed(keys[s]), _packed(trained[s])) for b, s in _by_bucket(bucket)], SENT)
+                (GRAMS, b, chunk.name, _packed(keys[s]), _packed_counts(trained[s])) for b, s in _by_bucket(bucket)], SENT)
 
     return run
 
@@ -198,10 +208,10 @@ def _merged(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 def _add_up(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
     names = [_unpacked(r["names"], np.uint64) for r in rows]
-    _, total, place = _merged(names, [_unpacked(r["counts"], np.int64) for r in rows])
+    _, total, place = _merged(names, [_unpacked_counts(r["counts"]) for r in rows])
     out = [(STATS, rows[0]["bucket"], None, None, None, int(total.sum()), int(np.count_nonzero(total)))]
     found = np.split(total[place], np.cumsum([len(n) for n in names])[:-1])
-    out += [(WORDS, r["bucket"], r["chunk"], None, _packed(f), 0, 0) for r, f in zip(rows, found)]
+    out += [(WORDS, r["bucket"], r["chunk"], None, _packed_counts(f), 0, 0) for r, f in zip(rows, found)]
     return pa.Table.from_batches([_batch(out, GATHERED)])
 
 
@@ -229,7 +239,7 @@ def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows by bucket to the bucket's counts, and what it adds to the decisions of short contexts."""
     def settled(bucket: int, counted: Sum) -> Iterator[pa.RecordBatch]:
         keys, counts = counted.merged()
-        yield _batch([(TREE, bucket, _packed(keys), _packed(counts), None, None, None, None)], TREES)
+        yield _batch([(TREE, bucket, _packed(keys), _packed_counts(counts), None, None, None, None)], TREES)
         short = context_tree.contributions(keys, counts)
         size = len(short[0])
         yield pa.RecordBatch.from_arrays(
@@ -246,7 +256,7 @@ def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if now is not None:
                     yield from settled(now, counted)
                 now, counted = bucket, Sum()
-            counted.add(_unpacked(names[row].as_py(), np.int64), _unpacked(counts[row].as_py(), np.int64))
+            counted.add(_unpacked(names[row].as_py(), np.int64), _unpacked_counts(counts[row].as_py()))
     if now is not None:
         yield from settled(now, counted)
 
@@ -263,7 +273,7 @@ def _answer(top: Top):
                 asked = _unpacked(names[row].as_py(), np.int64)
                 if kinds[row].as_py() == TREE:
                     keys = tree = values = None
-                    keys, tree = asked, top.extended(asked, _unpacked(counts[row].as_py(), np.int64))
+                    keys, tree = asked, top.extended(asked, _unpacked_counts(counts[row].as_py()))
                     values = tree.log_probability(keys)
                     continue
                 found = np.empty(len(asked))
@@ -296,7 +306,7 @@ def _score(buckets: int, gram_buckets: int, total: int, known: int):
         counts, values = (
             np.concatenate([np.zeros(0, kind), *[unpacked(r["counts"]) for r in rows if r["kind"] == which]])
             for which, kind, unpacked in (
-                (WORDS, np.int64, lambda c: _unpacked(c, np.int64)), (GRAMS, np.float64, _unpacked_floats)))
+                (WORDS, np.int64, _unpacked_counts), (GRAMS, np.float64, _unpacked_floats)))
         if chunk.name != key[0].as_py() or len(counts) != len(names) or len(values) != len(keys):
             raise RuntimeError("the documents changed between two reads; score a stored table")
         seen = counts[place].astype(np.float64)

@@ -9,9 +9,10 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from plaudit.llm import context_tree, jaccard_join, license_scan, secrets, substring_dedup, toxicity
+from plaudit.llm import context_tree, jaccard_join, language_model, license_scan, secrets, substring_dedup, toxicity
 from plaudit.llm.automaton import Nfa, determinise
 from plaudit.llm.common import merged_runs, plain_words
 from plaudit.llm.decontaminate import Phrases
@@ -420,3 +421,21 @@ def test_token_ids_look_up_a_word_once_a_block():
     expected = [[*encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, 1] for text in texts]
     assert [part.tolist() for part in np.split(ids, ends[:-1])] == expected
     assert len(looked_up) < 100
+
+
+def test_counts_of_a_chunk_travel_without_differences():
+    draw = random.Random(9)
+    vocabulary = ["".join(draw.choices("abcdefgh", k=draw.randrange(2, 7))) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(range(40), pa.int64()), pa.array([i % 7 == 2 for i in range(40)]),
+        pa.array([" ".join(draw.choices(vocabulary, k=500)) for _ in range(40)])], names=["doc_id", "held_out", "text"])
+    rows = [row for out in language_model._send(4, 4, 1 << 20)(iter([batch])) for row in out.to_pylist()]
+    rows = [row for row in rows if row["kind"] == language_model.GRAMS]
+    counts = np.concatenate([language_model._unpacked_counts(row["counts"]) for row in rows])
+    keys = np.concatenate([language_model._unpacked(row["names"], np.int64) for row in rows])
+    chunk = language_model.Chunk(batch, WordHashes(), 4)
+    names, _, trained, place, lengths = chunk.grams(4)
+    assert (names == keys).all() and (trained == counts).all()
+    assert (names[place] == context_tree.keys_of(*context_tree.stream_of(chunk.texts))).all() and lengths.sum() == len(place)
+    assert sum(len(row["counts"]) for row in rows) < 0.7 * sum(
+        len(language_model._packed(language_model._unpacked_counts(row["counts"]))) for row in rows)
