@@ -33,7 +33,9 @@ from plaudit.llm.elias_fano import EliasFano
 SHARD_SCHEMA = (
     "part int, shard int, id_bytes int, n_docs bigint, n_ids bigint, doc_ids array<bigint>, ends binary, ids binary")
 #: Words whose ids a worker remembers at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
+#: New words that are taken up at once; their pieces and ids are Python objects until they are stored.
+LEARNED = 8192
 #: Characters that the tokenizer keeps apart from letters, whatever stands around them.
 MARKS = b".,;:!?*$#&%|()-\""
 #: Lower-cases A-Z and turns the white space of ``bytes.split`` into blanks.
@@ -54,7 +56,7 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.flat, self.first, self.many = array("I"), array("q"), array("q")
+        self.flat, self.first, self.many = array("I"), array("q"), array("i")
 
     def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
         sizes = list(map(len, ids))
@@ -123,15 +125,22 @@ class WordEncoder:
         if len(self.known) > REMEMBERED:
             self.forget()
         known = self.known
-        self._learn([word for word in dict.fromkeys(words) if word not in known])
-        flat, first, many = (np.array(x) for x in (self.flat, self.first, self.many))
-        number = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))[encoded.indices.to_numpy()]
+        new = [word for word in dict.fromkeys(words) if word not in known]
+        for begin in range(0, len(new), LEARNED):
+            self._learn(new[begin:begin + LEARNED])
+        number = np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))[encoded.indices.to_numpy()]
         begins = np.cumsum([0] + [1 if not t or row in marked else len(t) + 1 for row, t in enumerate(texts)])
+        places = np.searchsorted(starts, begins)
+        del joined, raw, starts, encoded, words, new
+        # Views, gone before the arrays grow again.
+        flat, first, many = (np.frombuffer(x, x.typecode) for x in (self.flat, self.first, self.many))
         sizes = many[number]
-        before = np.concatenate([[0], np.cumsum(sizes)])
-        text_ids = np.diff(before[np.searchsorted(starts, begins)])
-        at = np.repeat(first[number] - before[:-1], sizes) + np.arange(int(before[-1]))
+        before = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        text_ids = np.diff(before[places])
+        at = np.repeat(first[number] - before[:-1], sizes)
+        at += np.arange(len(at))
         ids = flat[at]
+        del at, before, number, sizes, flat, first, many
         ends = np.cumsum(text_ids)
         whole = {row: self._whole(texts[row]) for row in marked}
         if whole:
@@ -157,7 +166,7 @@ def _encoder(tokenizer: str, end_id: int) -> WordEncoder:
 
 def write_tokens(
     docs: DataFrame, path: str, tokenizer_path: str, key: str = "doc_id", text: str = "text",
-    end_id: int = 1, shard_bytes: int = 4 << 20,
+    end_id: int = 1, shard_bytes: int = 2 << 20,
 ) -> None:
     """Writes the shards of ``docs`` in ascending order of ``key``."""
     with open(tokenizer_path, encoding="utf-8") as file:

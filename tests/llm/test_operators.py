@@ -417,6 +417,19 @@ def test_token_files(docs):
         position += count
 
 
+def test_token_files_take_up_new_words_in_small_lots(monkeypatch):
+    with open(TOKENIZER, encoding="utf-8") as file:
+        encoder = token_files.WordEncoder(file.read(), 1)
+    lots, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: (lots.append(len(words)), learn(words)))
+    texts = [" ".join(f"ref{text}x{word}," for word in range(1000)).encode() for text in range(30)]
+    for _ in range(2):  # the second time from what is remembered
+        ids, ends = encoder.encode(texts)
+        assert ids.tolist() == [i for t in texts for i in [*encoder._whole(t), 1]]
+        assert ends[-1] == len(ids)
+    assert sum(lots) == 30_000 and max(lots) <= 8192
+
+
 VECTOR = StructType([
     StructField("vec_id", LongType()), StructField("embedding", ArrayType(FloatType())),
     StructField("label", IntegerType()), StructField("score", DoubleType())])
