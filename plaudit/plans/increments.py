@@ -16,7 +16,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +79,22 @@ def _written(spark: SparkSession, lake: Lake, part: str) -> list[str]:
     return sorted(s.getPath().getParent().getName() for s in system.globStatus(pattern) or [])
 
 
+def _changed(incoming: DataFrame, held: DataFrame) -> DataFrame:
+    """Incoming rows that stay, sign 1, and held rows that give way to them, sign -1; both have an id once.
+
+    Of two rows that are equal in the survivor order the held one stays.
+    """
+    order = lambda side: F.struct(*[F.col(f"{side}.{name}") for name in SURVIVOR_ORDER])
+    row = lambda sign, side, folder: F.struct(
+        F.lit(sign).alias("sign"), *[F.col(f"{side}.{name}").alias(name) for name in SILVER_REVIEW.names], folder.alias("folder"))
+    pairs = incoming.alias("n").join(held.alias("h"), F.col("n.review_id") == F.col("h.review_id"), "left")
+    added, removed = row(1, "n", F.lit(None).cast("string")), row(-1, "h", F.col("h.folder"))
+    alone = F.col("h.review_id").isNull()
+    return (
+        pairs.filter(alone | (order("n") < order("h")))
+        .select(F.explode(F.when(alone, F.array(added)).otherwise(F.array(added, removed))).alias("row")).select("row.*"))
+
+
 @dataclass(frozen=True)
 class SilverLoad:
     version: int
@@ -121,22 +137,17 @@ def refresh_silver(
     fresh = materialise(fresh, "checked")
     newest = F.current_date() if as_of is None else as_of
     ahead = fresh.filter(F.col("review_date") > newest)
-    valid = with_derived(first_by(fresh.filter(F.col("review_date") <= newest), ["review_id"], SURVIVOR_ORDER))
-    incoming = materialise(valid.select(*SILVER_REVIEW.names), "incoming")
-
-    # Only stored rows of the incoming ids can change; each id then has two rows at most.
-    stored = _data(spark, lake, before)
-    held = empty_table(spark, T.StructType([*SILVER_REVIEW, T.StructField("folder", T.StringType())]))
+    due = fresh.filter(F.col("review_date") <= newest)
+    incoming = with_derived(first_by(due, ["review_id"], SURVIVOR_ORDER)).select(*SILVER_REVIEW.names)
+    changed = incoming.select(F.lit(1).alias("sign"), "*", F.lit(None).cast("string").alias("folder"))
     if before["folders"]:
-        held = stored.select(*SILVER_REVIEW.names, _folder().alias("folder")).join(
-            incoming.select("review_id"), "review_id", "left_semi")
-    both = incoming.withColumns({"folder": F.lit(None).cast("string"), "is_new": F.lit(True)}).unionByName(
-        held.withColumn("is_new", F.lit(False)))
-    order = Window.partitionBy("review_id").orderBy(*SURVIVOR_ORDER, "is_new")
-    ranked = both.withColumn("place", F.row_number().over(order)).filter((F.col("place") == 1) == F.col("is_new"))
-    changed = ranked.withColumn("sign", F.when(F.col("is_new"), 1).otherwise(-1))
+        # Only stored rows of the incoming ids can change. All is dealt by id once: ids, rows and their comparison.
+        ids = due.select("review_id").distinct()
+        held = _data(spark, lake, before).select(*SILVER_REVIEW.names, _folder().alias("folder")).join(
+            ids, "review_id", "left_semi")
+        changed = _changed(incoming, held)
     changes_path = f"changes/{part}"
-    changed.select(*CHANGE.names, "folder").write.parquet(f"{root}/{changes_path}")
+    changed.select(*CHANGE.names, "folder").write.option("compression", "zstd").parquet(f"{root}/{changes_path}")
     changes = spark.read.schema(T.StructType([*CHANGE, T.StructField("folder", T.StringType())])).parquet(f"{root}/{changes_path}")
     added, removed = changes.filter("sign = 1"), changes.filter("sign = -1")
     sizes = changes.agg(F.count_if(F.col("sign") == 1).alias("added"), F.count_if(F.col("sign") == -1).alias("removed")).first()
@@ -150,7 +161,7 @@ def refresh_silver(
         rows = rows.unionByName(old.join(removed.select("review_id"), "review_id", "left_anti"))
     if rewritten or sizes["added"]:
         laid_out = rows.hint("rebalance", "category").withColumn("part", F.lit(part))
-        laid_out.write.mode("append").partitionBy("category", "part").parquet(f"{root}/data")
+        laid_out.write.mode("append").option("compression", "zstd").partitionBy("category", "part").parquet(f"{root}/data")
     gained = set(_written(spark, lake, part))
     folders = {
         folder: ([] if folder in rewritten else before["folders"].get(folder, [])) + ([part] if folder in gained else [])

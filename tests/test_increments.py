@@ -127,6 +127,31 @@ def test_increments_equal_a_rebuild(spark, reviews, tmp_path):
     same_as_rebuild(spark, lake)
 
 
+def test_a_load_writes_its_rows_once_before_they_are_compared(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path / "lake"))
+    names = "review_id, product_id, product_name, category, customer_id, rating, review_text, topic, review_date"
+    make = lambda *found: spark.createDataFrame(list(found), names.replace(",", " string,").replace(
+        "rating string", "rating int") + " string")
+    row = lambda key, product, date: (key, product, "name", "kind", None, 3, "text " + key, None, date)
+    written, write = [], increments.materialise
+    monkeypatch.setattr(increments, "materialise", lambda df, name: written.append(name) or write(df, name))
+    loads = [
+        [row("same", "p", "2024-01-02"), row("null", "p", "2024-01-02"), row("early", "p", "2024-01-02"),
+         row("late", "p", "2024-01-02"), row("alone", None, "2024-01-02")],
+        [row("same", "p", "2024-01-02"), row("null", None, "2024-01-02"), row("early", "p", "2024-01-01"),
+         row("early", "q", "2024-01-01"), row("late", "p", "2024-01-03"), row("new", "p", "2024-01-02"), row("new", "p", "2024-01-02")]]
+    for load in loads:
+        land(make(*load), lake)
+        found = increments.refresh_silver(spark, lake)
+    assert written == ["checked", "checked"]
+    increments.refresh_gold(spark, lake)
+    changes = spark.read.parquet(f"{lake.path('silver', increments.STORE)}/{found.manifest['changes']}")
+    assert sorted(tuple(r) for r in changes.select("review_id", "sign").collect()) == [
+        ("early", -1), ("early", 1), ("new", 1), ("null", -1), ("null", 1)]
+    assert found.counts == {"raw": 12, "silver": 6}
+    same_as_rebuild(spark, lake)
+
+
 def test_a_second_load_reads_only_new_files(spark, reviews, tmp_path, monkeypatch):
     lake = Lake(str(tmp_path / "lake"))
     land(reviews({"review_id": "a"}), lake)
