@@ -9,17 +9,20 @@ slice by ``select``; a shard's first global position comes from running sums ove
 the shards of a partition.
 
 Words are encoded once and remembered; the tokenizer never joins what white space separates, so ids of a
-text are the ids of its words. Texts with the tokenizer's markers ``<|`` are encoded as a whole. Null and
-empty texts have the end id alone. A null document id sorts first. Repeated rows are each written.
-Empty tables give empty files and results. Other columns are not read.
+text are the ids of its words. A mark beside an ASCII letter starts or ends a word, too, as the tokenizer
+keeps the two apart. A worker that remembers too many words keeps those it met in a later block than the first.
+Texts with the tokenizer's markers ``<|`` are encoded as a whole. Null and empty texts have the end id alone.
+A null document id sorts first. Repeated rows are each written. Empty tables give empty files and results.
+Other columns are not read.
 """
 
 from __future__ import annotations
 
 import zlib
 from array import array
-from collections.abc import Iterator
-from itertools import accumulate, chain
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain, compress, filterfalse, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ LEARNED = 8192
 MARKS = b".,;:!?*$#&%|()-\""
 #: Lower-cases A-Z and turns the white space of ``bytes.split`` into blanks.
 _SPACED = lower_ascii(bytes(32 if byte in b"\t\n\v\f\r" else byte for byte in range(256)))
+#: ASCII letters 1, marks 2: where one stands beside the other, their kinds differ by 3.
+_KINDS = bytes(2 if byte in MARKS else bytes([byte]).isalpha() for byte in range(256))
 
 
 class WordEncoder:
@@ -56,14 +61,29 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.flat, self.first, self.many = array("I"), array("q"), array("i")
+        self.flat, self.first, self.many, self.met_again = array("I"), array("q"), array("i"), bytearray()
 
-    def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
-        sizes = list(map(len, ids))
+    def _forget_rare(self) -> None:
+        """Forgets the words that no later block had than the one they were learned from; all, if others fill half."""
+        known, flat, first, many, kept = self.known, self.flat, self.first, self.many, self.met_again
+        self.forget()
+        if 2 * sum(kept) > REMEMBERED:
+            return
+        places = compress(zip(first, many), kept)
+        self._add(list(compress(known, kept)), list(compress(many, kept)), chain.from_iterable(
+            flat[begin:begin + size] for begin, size in places))
+
+    def _add(self, words: list[bytes], sizes: list[int], ids: Iterable[int]) -> None:
         self.known.update(zip(words, range(len(self.many), len(self.many) + len(words))))
         self.first.extend(accumulate(sizes[:-1], initial=len(self.flat)) if sizes else ())
         self.many.extend(sizes)
-        self.flat.extend(chain.from_iterable(ids))
+        self.flat.extend(ids)
+        self.met_again.extend(bytes(len(words)))
+
+    def _pieces(self, texts: Iterable[str]) -> tuple[list[int], Iterator[int]]:
+        """Numbers of ids and ids of texts that are one piece each for the tokenizer's merges."""
+        found = list(map(self.tokenizer.model.tokenize, texts))
+        return list(map(len, found)), map(attrgetter("id"), chain.from_iterable(found))
 
     def _letters(self, words: list[bytes]) -> dict[bytes, str]:
         """The words of letters, each one piece for the tokenizer's merges, in the letters these are made of."""
@@ -74,7 +94,7 @@ class WordEncoder:
                 others.append((word, text))
             elif text.isalpha():
                 of_letters[word] = text
-        others = [(word, text) for word, text in others if not any(map(str.isspace, text))]
+        others = [(word, text) for word, text in others if text.split() == [text]]
         # Blanks between them keep words apart in both steps; the second one writes a blank as the letter \u0120.
         normal = self.tokenizer.normalizer.normalize_str(" ".join(text for _, text in others)).split(" ")
         others = [(word, text) for (word, _), text in zip(others, normal, strict=True) if text.isalpha()] if others else []
@@ -85,11 +105,13 @@ class WordEncoder:
 
     def _learn(self, words: list[bytes]) -> None:
         """Takes up new words. Marks around letters are pieces of their own, so each part is looked up alone."""
+        plain = list(filter(bytes.isalpha, words))
+        self._add(plain, *self._pieces(b" ".join(plain).decode().split()))
+        words = list(filterfalse(bytes.isalpha, words))
         cores = [word.strip(MARKS) for word in words]
         letters = self._letters(list(dict.fromkeys(cores)))
-        tokenize = self.tokenizer.model.tokenize
-        new = {word: [token.id for token in tokenize(text)] for word, text in letters.items() if word not in self.known}
-        self._add(list(new), list(new.values()))
+        new = [word for word in letters if word not in self.known]
+        self._add(new, *self._pieces(map(letters.__getitem__, new)))
         marks: dict[bytes, list[int]] = {b"": []}
         joined: dict[bytes, list[int]] = {}
         for word, core in zip(words, cores):
@@ -102,12 +124,10 @@ class WordEncoder:
             for part in (before, after):
                 if part not in marks:
                     marks[part] = self._whole(part)
-            ids = new.get(core)
-            if ids is None:
-                number = self.known[core]
-                ids = self.flat[self.first[number]:self.first[number] + self.many[number]].tolist()
+            number = self.known[core]
+            ids = self.flat[self.first[number]:self.first[number] + self.many[number]].tolist()
             joined[word] = marks[before] + ids + marks[after]
-        self._add(list(joined), list(joined.values()))
+        self._add(list(joined), list(map(len, joined.values())), chain.from_iterable(joined.values()))
 
     def _whole(self, text: bytes) -> list[int]:
         return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
@@ -116,22 +136,30 @@ class WordEncoder:
         """All ids, with the end id after every text, and the ends of the texts in them."""
         marked = {row for row, text in enumerate(texts) if text and b"<|" in text}
         joined = b" ".join(b"" if not t or row in marked else t for row, t in enumerate(texts)).translate(_SPACED) + b" "
-        raw = np.frombuffer(joined, dtype=np.uint8)
+        kinds = np.frombuffer(joined.translate(_KINDS), dtype=np.uint8)
+        cuts = np.flatnonzero(kinds[1:] ^ kinds[:-1] == 3) + 1
+        raw = np.insert(np.frombuffer(joined, dtype=np.uint8), cuts, 32)
         starts = np.flatnonzero(np.diff(raw != 32, prepend=False))[::2]
         # A word with the blanks after it is one value, so the values lie in the text one after another.
         encoded = pa.Array.from_buffers(pa.large_binary(), len(starts), [
-            None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(joined)]).dictionary_encode()
+            None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(raw)]).dictionary_encode()
         words = encoded.dictionary.buffers()[2].to_pybytes().split() if len(starts) else []
         if len(self.known) > REMEMBERED:
-            self.forget()
+            self._forget_rare()
         known = self.known
-        new = [word for word in dict.fromkeys(words) if word not in known]
+        number = np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int32, count=len(words))
+        np.frombuffer(self.met_again, np.uint8)[number[number >= 0]] = 1
+        unknown = np.flatnonzero(number < 0)
+        # A word stands here once for every number of blanks after it.
+        missing = list(map(words.__getitem__, unknown.tolist()))
+        new = list(dict.fromkeys(missing))
         for begin in range(0, len(new), LEARNED):
             self._learn(new[begin:begin + LEARNED])
-        number = np.fromiter(map(known.__getitem__, words), dtype=np.int32, count=len(words))[encoded.indices.to_numpy()]
+        number[unknown] = np.fromiter(map(known.__getitem__, missing), dtype=np.int32, count=len(missing))
+        number = number[encoded.indices.to_numpy()]
         begins = np.cumsum([0] + [1 if not t or row in marked else len(t) + 1 for row, t in enumerate(texts)])
-        places = np.searchsorted(starts, begins)
-        del joined, raw, starts, encoded, words, new
+        places = np.searchsorted(starts, begins + np.searchsorted(cuts, begins))
+        del joined, kinds, cuts, raw, starts, encoded, words, unknown, missing, new
         # Views, gone before the arrays grow again.
         flat, first, many = (np.frombuffer(x, x.typecode) for x in (self.flat, self.first, self.many))
         sizes = many[number]
@@ -206,16 +234,21 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                boundaries = EliasFano(row["ends"])
+            for row in map(batch.slice, range(batch.num_rows), repeat(1)):
+                boundaries = EliasFano(row.column("ends")[0].as_py())
                 ends = boundaries.select(np.arange(boundaries.count))
                 starts = np.concatenate([[0], ends[:-1]])
-                ids = np.frombuffer(row["ids"], dtype=f"<u{row['id_bytes']}").astype("<u4")
+                width = row.column("id_bytes")[0].as_py()
+                ids = np.frombuffer(row.column("ids")[0].as_buffer(), dtype=f"<u{width}").astype("<u4")
                 sums = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                place = [pa.repeat(row.column(name)[0], len(ends)) for name in ("part", "shard")]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["base"], pa.int64()),
+                    *place, row.column("doc_ids").flatten(), pa.array(starts, pa.int64()),
                     pa.array(ends - starts, pa.int64()), pa.array(sums, pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    names=["part", "shard", "doc_id", "inner_start", "n_tokens", "ids_crc32"])
 
-    return shards.join(bases, ["part", "shard"]).select("id_bytes", "doc_ids", "ends", "ids", "base").mapInArrow(
-        run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # Only the documents' figures are moved for the join, never their ids.
+    found = shards.select("part", "shard", "id_bytes", "doc_ids", "ends", "ids").mapInArrow(
+        run, "part int, shard int, doc_id bigint, inner_start bigint, n_tokens bigint, ids_crc32 bigint")
+    return found.join(bases, ["part", "shard"]).select(
+        "doc_id", (F.col("inner_start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")

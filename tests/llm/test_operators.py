@@ -430,6 +430,49 @@ def test_token_files_take_up_new_words_in_small_lots(monkeypatch):
     assert sum(lots) == 30_000 and max(lots) <= 8192
 
 
+def test_token_files_learn_a_word_once_whatever_marks_stand_beside_it():
+    with open(TOKENIZER, encoding="utf-8") as file:
+        encoder = token_files.WordEncoder(file.read(), 1)
+    words = ["plain", "don't", "it's", "été", "ñu", "a\u0301b", "x’", "‘y", "½", "a1", "ﬁ", "Ǆz", "İo", "日本", "s'll"]
+    marks = [".", ",", "--", "'", "(\"", ")*", "’", "\u0301", "\u0338", "#'s", "!'", "'.", ".'"]
+    texts = [f"{word}{mark}{word} {mark}{word}{mark}" for word in words for mark in marks] + ["A.b,C", ".a.", "a.\u0301b", ""]
+    ids, ends = encoder.encode([text.encode() for text in texts])
+    for text, start, end in zip(texts, [0, *ends[:-1]], ends):
+        assert ids[start:end].tolist() == [*encoder._whole(text.encode()), 1], text
+    encoder.forget()
+    encoder.encode([f"word{mark} {mark}word{mark}other".encode() for mark in (".", ",", "--", "!", "(", ")")])
+    assert sorted(encoder.known) == sorted([b"word", b"other", b".", b",", b"--", b"!", b"(", b")"])
+
+
+def test_token_files_remember_words_met_again(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 300)
+    with open(TOKENIZER, encoding="utf-8") as file:
+        encoder = token_files.WordEncoder(file.read(), 1)
+    learned, learn, most = Counter(), encoder._learn, 0
+    monkeypatch.setattr(encoder, "_learn", lambda words: (learned.update(words), learn(words)))
+    letters = "abcdefghij"
+    for block in range(30):
+        rare = ["x" + "".join(letters[int(d)] for d in f"{block * 100 + word:04}") for word in range(100)]
+        text = " ".join(["the", "été,", "o'clock", "(word)", *rare])
+        ids, ends = encoder.encode([text.encode(), b"the"])
+        assert ids.tolist() == [*encoder._whole(text.encode()), 1, *encoder._whole(b"the"), 1] and ends[-1] == len(ids)
+        most = max(most, len(encoder.known))
+    assert most <= 500 and len(encoder.known) == len(encoder.many) == len(encoder.met_again) == len(encoder.first)
+    assert learned[b"the"] == learned["été,".encode()] == learned[b"o'clock"] == learned[b"word"] == 1
+    monkeypatch.setattr(token_files, "REMEMBERED", 20)
+    encoder.forget()
+    for block in range(6):  # more words are met again than may be remembered
+        texts = [f"{a}{b}{'cd'[block // 3]}".encode() for a in letters for b in letters]
+        ids, _ = encoder.encode(texts)
+        assert ids.tolist() == [i for text in texts for i in [*encoder._whole(text), 1]]
+        assert len(encoder.known) <= 120
+
+
+def test_token_files_are_read_without_moving_their_ids(docs):
+    plan = tokens(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("Join") < plan.index("MapInArrow")
+
+
 VECTOR = StructType([
     StructField("vec_id", LongType()), StructField("embedding", ArrayType(FloatType())),
     StructField("label", IntegerType()), StructField("score", DoubleType())])
