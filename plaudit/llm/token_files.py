@@ -64,7 +64,7 @@ class WordEncoder:
         self.flat, self.first, self.many, self.met_again = array("I"), array("q"), array("i"), bytearray()
 
     def _forget_rare(self) -> None:
-        """Forgets the words that no later block had than the one they were learned from; all, if others fill half."""
+        """Keeps only words met in a later block than the one they were learned from; none, if these fill half."""
         known, flat, first, many, kept = self.known, self.flat, self.first, self.many, self.met_again
         self.forget()
         if 2 * sum(kept) > REMEMBERED:
