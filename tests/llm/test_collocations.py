@@ -162,3 +162,64 @@ def test_distinct_runs_count_every_phrase_once():
     raw = np.frombuffer(b"".join(run + b"\n" for run in runs), dtype=np.uint8)
     trie.count(phrase_trie.words_in(raw), b"x", found, counts)
     assert found.tolist() == [seen[key] for key in keys]
+
+
+def test_candidates_come_from_one_pass_however_many_blocks_of_buckets(spark, monkeypatch):
+    rows = corpus(9, 120)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found, passes = collocations._candidates, []
+
+    def finding(*given):
+        passes.append(1)
+        return found(*given)
+
+    monkeypatch.setattr(collocations, "_candidates", finding)
+    assert sorted(map(tuple, collocations.mine_collocations(docs, bucket_bytes=200).collect())) == plain(rows)
+    assert len(passes) == 1
+
+
+def test_rows_for_a_trie_do_not_grow_with_the_blocks_of_text(spark, monkeypatch):
+    draw = random.Random(10)
+    rows = [(" ".join(draw.choices(["a", "b", "cc", "dd", "eee", "fff"], k=300)), "en", "s") for _ in range(120)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(1)
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 4000)
+    counted, dealt = collocations._shard_counts, []
+
+    def counting(runs, *others):
+        dealt.append(runs.count())
+        return counted(runs, *others)
+
+    monkeypatch.setattr(collocations, "_shard_counts", counting)
+    found = sorted(map(tuple, collocations.mine_collocations(docs, trie_bytes=1000).collect()))
+    assert found == plain(rows)
+    assert len(dealt) > 1 and max(dealt) <= spark.sparkContext.defaultParallelism
+
+
+def test_tries_are_counted_in_waves(spark, monkeypatch):
+    draw = random.Random(11)
+    rows = [(" ".join(draw.choices(["a", "b", "cc", "dd", "eee", "fff"], k=30)), "en", "s") for _ in range(200)]
+    monkeypatch.setattr(collocations, "WAVE", 2)
+    waves = []
+    ran = collocations.together
+
+    def running(session, actions, **options):
+        waves.append(len(actions))
+        return ran(session, actions, **options)
+
+    monkeypatch.setattr(collocations, "together", running)
+    found = mined(spark, rows, trie_bytes=400)
+    assert found == plain(rows) != []
+    assert waves[0] > 1
+
+
+def test_sent_numbers_are_told_once():
+    sent = collocations.Sent()
+    given = np.array([0, 1, 7, 7, 1 << collocations.SENT_BITS, 0], dtype=np.uint64)
+    assert sorted(given[sent.new(given)].tolist()) == [0, 1, 7, 1 << collocations.SENT_BITS]
+    assert given[sent.new(given[:4])].tolist() in ([], [0])  # zero and the last number share a place
+    assert sent.new(np.empty(0, dtype=np.uint64)).tolist() == []
+
+
+def test_small_shares_and_high_least(spark, monkeypatch):
+    rows = corpus(12, 60) + [("one two one two three. two one", "en", None)] * 300
+    assert mined(spark, rows, keep=3, least=290) == plain(rows, keep=3, least=290)
